@@ -4,9 +4,150 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+def month_of(date: str) -> Column:
+    """First day of the month, as DATE."""
+    return F.trunc(date, "MM")
+
+
+def ratio(part: str, whole: str) -> Column:
+    """``part / whole``, NULL where the whole is zero."""
+    return F.col(part) / F.nullif(F.col(whole), F.lit(0))
+
+
+def store_monthly_sales(contracts: DataFrame) -> DataFrame:
+    """Units, sales and gross profit; key (store_id, sales_month)."""
+    return contracts.groupBy("store_id", month_of("contract_date").alias("sales_month")).agg(
+        F.count(F.lit(1)).alias("units"),
+        F.sum("actual_price").alias("sales"),
+        F.sum("gross_profit").alias("gross_profit"),
+    )
+
+
+def monthly_sales(contracts: DataFrame) -> DataFrame:
+    """Units, sales, gross profit and margin rate; key sales_month."""
+    return (
+        contracts.groupBy(month_of("contract_date").alias("sales_month"))
+        .agg(
+            F.count(F.lit(1)).alias("units"),
+            F.sum("actual_price").alias("sales"),
+            F.sum("gross_profit").alias("gross_profit"),
+        )
+        .withColumn("margin_rate", ratio("gross_profit", "sales"))
+    )
+
+
+def dashboard_kpi(contracts: DataFrame) -> DataFrame:
+    """Monthly figures and one grand total (``sales_month`` NULL, ``is_total``).
+
+    Rows are first reduced to (month, customer), so the distinct count and the
+    two grouping levels work on that instead of on the contracts.
+    """
+    per_customer = contracts.groupBy(
+        month_of("contract_date").alias("sales_month"), "customer_id"
+    ).agg(
+        F.count(F.lit(1)).alias("units"),
+        F.sum("actual_price").alias("sales"),
+        F.sum("gross_profit").alias("gross_profit"),
+    )
+    return (
+        per_customer.rollup("sales_month")
+        .agg(
+            (F.grouping("sales_month") == 1).alias("is_total"),
+            F.sum("units").alias("units"),
+            F.sum("sales").alias("sales"),
+            F.sum("gross_profit").alias("gross_profit"),
+            F.count_distinct("customer_id").alias("customers"),
+        )
+        .withColumn("margin_rate", ratio("gross_profit", "sales"))
+    )
+
+
+def inventory_summary(vehicles: DataFrame) -> DataFrame:
+    """Stock by (body_type, status)."""
+    return vehicles.groupBy("body_type", "status").agg(
+        F.count(F.lit(1)).alias("vehicles"),
+        F.avg("listing_price").alias("avg_listing_price"),
+        F.sum("listing_price").alias("listing_total"),
+        F.sum("purchase_price").alias("purchase_total"),
+    )
+
+
+def sales_by_vehicle_attribute(
+    contracts: DataFrame, vehicles: DataFrame, attribute: str, *keys: Column | str
+) -> DataFrame:
+    """Units, sales and gross profit by ``keys`` and one attribute of the vehicle.
+
+    Contracts are summed per (keys, vehicle) before the join, so a vehicle or
+    model line with very many contracts reaches the join as few rows.
+    """
+    per_vehicle = contracts.groupBy(*keys, "vehicle_id").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.sum("actual_price").alias("sales"),
+        F.sum("gross_profit").alias("gross_profit"),
+    )
+    names = [c for c in per_vehicle.columns if c not in ("vehicle_id", "units", "sales", "gross_profit")]
+    return (
+        per_vehicle.join(vehicles.select("vehicle_id", attribute), "vehicle_id", "left")
+        .groupBy(*names, attribute)
+        .agg(*(F.sum(c).alias(c) for c in ("units", "sales", "gross_profit")))
+    )
+
+
+def monthly_index(market_index: DataFrame) -> DataFrame:
+    """Mean market index by (month, category)."""
+    return market_index.groupBy(
+        month_of("date").alias("month"), F.col("vehicle_category").alias("category")
+    ).agg(F.avg("market_index").alias("market_index"))
+
+
+def market_linked_margin(
+    contracts: DataFrame, vehicles: DataFrame, market_index: DataFrame
+) -> DataFrame:
+    """Market index next to the margin rate; key (month, category)."""
+    sales = sales_by_vehicle_attribute(
+        contracts, vehicles, "body_type", month_of("contract_date").alias("month")
+    )
+    return (
+        sales.withColumnRenamed("body_type", "category")
+        .withColumn("margin_rate", ratio("gross_profit", "sales"))
+        .join(monthly_index(market_index), ["month", "category"])
+    )
+
+
+def margin_score(contracts: DataFrame, vehicles: DataFrame) -> DataFrame:
+    """Standard score of each contract's margin rate within month, store and category.
+
+    (rate - mean) / population standard deviation; NULL where all rates are the
+    same. Group statistics are aggregated and joined back: a window would move
+    every contract of a large group into one task.
+    """
+    group = ["month", "store_id", "category"]
+    rated = contracts.join(
+        vehicles.select("vehicle_id", F.col("body_type").alias("category")), "vehicle_id", "left"
+    ).select(
+        "contract_id",
+        month_of("contract_date").alias("month"),
+        "store_id",
+        "category",
+        ratio("gross_profit", "actual_price").alias("margin_rate"),
+    )
+    stats = (
+        rated.groupBy(*group)
+        .agg(F.avg("margin_rate").alias("mean"), F.stddev_pop("margin_rate").alias("spread"))
+        .select(*(F.col(c).alias(f"g_{c}") for c in group), "mean", "spread")
+    )
+    same_group = [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in group]
+    return rated.join(stats, same_group, "left").select(
+        "contract_id",
+        *group,
+        "margin_rate",
+        ((F.col("margin_rate") - F.col("mean")) / F.nullif("spread", F.lit(0.0))).alias("score"),
+    )
+
+
 # Recency in whole months since the last contact, value in cumulative sales.
 # The band limits are this project's choice.
 RECENCY_BANDS = ((6, "R1"), (12, "R2"), (24, "R3"))

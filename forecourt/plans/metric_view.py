@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions.display import shown
+from forecourt.operators.joins import BROADCAST_BYTES, broadcast_if_small
 from forecourt.operators.quality import check_pk
 from forecourt.plans import expressions as ex
 from forecourt.plans.spec import FACT, Dimension, Field, Join, Measure, VERSION, _required, check
@@ -109,21 +110,30 @@ class MetricView:
                 return [j for j in self.joins if j.name in used]
             used = wider
 
-    def _base(self, spark, tables, joins: Iterable[Join]) -> DataFrame:
+    def _base(self, spark, tables, joins: Sequence[Join], texts, broadcast_bytes) -> DataFrame:
         """Fact and dimension rows side by side, one struct column per table.
 
         Structs keep ``source.x`` and ``store.x`` apart from dimension names;
         the optimiser removes them again and reads only the fields in use.
+        ``texts`` are all expressions of the query, or None if some are unknown.
         """
-
-        def packed(table: str, alias: str) -> DataFrame:
-            return find_table(spark, tables, table).select(F.struct("*").alias(alias))
-
-        return reduce(
-            lambda left, join: left.join(packed(join.source, join.name), F.expr(join.on), "left"),
-            joins,
-            packed(self.source, FACT),
-        )
+        named = [
+            pair
+            for text in (*(texts or ()), *(j.on for j in joins))
+            for pair in ex.qualified_columns(text)
+        ]
+        sides = {}
+        for join in joins:
+            table = find_table(spark, tables, join.source)
+            used = {column.casefold() for alias, column in named if alias == join.name.casefold()}
+            kept = [f"`{c}`" for c in table.columns if texts is None or c.casefold() in used]
+            sides[join.name] = table.select(*kept)
+        sides = broadcast_if_small(sides, broadcast_bytes)
+        rows = find_table(spark, tables, self.source).select(F.struct("*").alias(FACT))
+        for join in joins:
+            side = sides[join.name].select(F.struct("*").alias(join.name))
+            rows = rows.join(side, F.expr(join.on), "left")
+        return rows
 
     def query(
         self,
@@ -137,13 +147,15 @@ class MetricView:
         as_of: dt.date | None = None,
         formatted: bool = False,
         prune: bool = True,
+        broadcast_bytes: int = BROADCAST_BYTES,
     ) -> DataFrame:
         """Measures grouped by dimensions, both chosen by name.
 
         ``where`` filters on dimension names before aggregation. ``order_by``
         takes names or ``(name, "asc" | "desc")``; a limited result is also
         ordered by its dimensions so that it is the same on every run. Display
-        formats are applied last and never affect the order.
+        formats are applied last and never affect the order. Dimension tables
+        measured within ``broadcast_bytes`` are broadcast; 0 skips the measuring.
         """
         grouped = [self.resolve(d, self.dimensions, "dimension") for d in _listed(dims)]
         wanted = [self.resolve(m, self.measures, "measure") for m in _listed(measures)]
@@ -164,7 +176,9 @@ class MetricView:
             texts.append(where)
 
         joins = self.needed_joins(texts) if prune else self.joins
-        rows = self._base(spark, tables if tables is not None else {}, joins)
+        known = tables if tables is not None else {}
+        all_texts = None if isinstance(where, Column) else texts
+        rows = self._base(spark, known, joins, all_texts, broadcast_bytes)
         rows = rows.withColumns({d.name: _typed(d, F.expr(sql)) for d, sql in dim_sql.items()})
         if where is not None:
             rows = rows.filter(where)

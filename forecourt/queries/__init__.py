@@ -1,4 +1,4 @@
 """Registered queries by topic; importing this package fills the registry."""
 
-from forecourt.queries import kpi  # noqa: F401
+from forecourt.queries import dq, kpi, marts  # noqa: F401
 from forecourt.queries.registry import ORACLES, QUERIES  # noqa: F401
