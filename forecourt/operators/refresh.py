@@ -50,7 +50,8 @@ def rows_of_months(contracts: DataFrame, months: DataFrame) -> DataFrame:
 def refresh_incremental(spark: SparkSession, delta: DataFrame, base: str, batch: str) -> str:
     """Add ``delta`` to the stored contracts and recompute only the months it touches."""
     contracts = spark.read.parquet(add_batch(delta, base, batch))
-    touched = delta.select(month_of("contract_date").alias("sales_month")).distinct()
+    # The months of the stored batch are its folders; the delta is not computed again.
+    touched = contracts.filter(F.col("batch") == batch).select("sales_month").distinct()
     fresh = monthly_summary(rows_of_months(contracts, touched))
     return write_layer(fresh, base, "view", "monthly_sales", ("sales_month",))
 

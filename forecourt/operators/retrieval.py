@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Tasks get the functions below by value, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Query vectors held by every task; more of them are handled block by block.
 QUERY_BYTES = 32 << 20
 # Vectors of one side in one block, and query rows multiplied at a time.

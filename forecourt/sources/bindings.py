@@ -1,9 +1,9 @@
 """Binds the star-schema parquet tables to the logical business tables.
 
-Each logical table is one SELECT over the parquet tables. The same text runs in
-Spark (``LogicalTables``) and in the SQL checks (``with_tables``), so a check
-never disagrees with a query about its input. Amounts are computed in DECIMAL
+Each logical table is one SELECT over the parquet tables, used in Spark
+(``LogicalTables``) and in the SQL checks (``with_tables``). Amounts are exact
 and cast to DOUBLE last, which keeps row values identical across engines.
+Contracts have a second text for Spark that sums scaled integers.
 """
 
 from __future__ import annotations
@@ -96,6 +96,23 @@ SELECT conv_id AS note_id, turn, role, text FROM {conversations} WHERE role <> '
 }
 
 
+# Sums of DECIMAL products need more than 18 digits, which Spark adds as objects.
+# Hundredths as BIGINT give the same amounts: price and discount in hundredths
+# make a net amount in ten-thousandths.
+_SPARK_CONTRACTS = """
+SELECT g.l_orderkey * 10 + g.l_linenumber AS contract_id, g.l_orderkey AS inquiry_id,
+  CAST(o_orderdate AS DATE) AS contract_date, o_custkey AS customer_id, g.store_id, g.vehicle_id,
+  net / 10000D AS actual_price,
+  (net - qty * CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 100 AS BIGINT) * 100) / 10000D AS gross_profit
+FROM (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS store_id, min(l_partkey) AS vehicle_id,
+        sum(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT)
+          * (100 - CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS BIGINT))) AS net,
+        CAST(round(sum(l_quantity)) AS BIGINT) AS qty
+      FROM {lineitem} GROUP BY l_orderkey, l_linenumber) g
+LEFT JOIN {orders} ON g.l_orderkey = o_orderkey
+LEFT JOIN {part} ON g.vehicle_id = p_partkey"""
+
+
 class LogicalTables(dict):
     """Logical (and raw) tables by name, each built on first use."""
 
@@ -108,6 +125,8 @@ class LogicalTables(dict):
             frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         elif name in _LOGICAL:
             inputs, text = _LOGICAL[name]
+            if name == "sl_contracts":
+                text = _SPARK_CONTRACTS
             frame = self.spark.sql(text, **{table: self[table] for table in inputs})
         else:
             raise KeyError(name)
