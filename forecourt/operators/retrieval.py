@@ -162,7 +162,7 @@ def _tokens(text: str, bigrams: bool):
     return F.regexp_extract_all(lowered, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def fit_embedding(df: DataFrame, text: str, dimensions: int = 512, bigrams: bool = False) -> PipelineModel:
+def fit_embedding(df: DataFrame, text: str, dimensions: int = 256, bigrams: bool = False) -> PipelineModel:
     """Term weights learnt from ``df``; the driver only receives one number per dimension."""
     tokens = df.select(_tokens(text, bigrams).alias("tokens"))
     stages = [
