@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Tasks get the functions below by value, so workers need no copy of this package.
@@ -125,18 +125,14 @@ def topk_similar(
 def _blocked(q, c, k, skip_self, q_blocks, c_blocks, schema) -> DataFrame:
     """Every query block meets every corpus block in a task of its own."""
     q_blocks, c_blocks = max(q_blocks, 1), max(c_blocks, 1)
-    q_cells = q.withColumns(
-        {
-            "qb": F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)),
-            "cb": F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).cast("long"),
-        }
-    )
-    c_cells = c.withColumns(
-        {
-            "cb": F.pmod(F.xxhash64("id"), F.lit(c_blocks)),
-            "qb": F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("long"),
-        }
-    )
+
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    q_block = F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))
+    c_block = F.pmod(F.xxhash64("id"), F.lit(c_blocks))
+    q_cells = q.withColumns({"qb": q_block, "cb": numbers(c_blocks)})
+    c_cells = c.withColumns({"cb": c_block, "qb": numbers(q_blocks)})
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
