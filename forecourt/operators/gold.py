@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.operators.joins import BROADCAST_BYTES, fits_broadcast
+
 def month_of(date: str) -> Column:
     """First day of the month, as DATE."""
     return F.trunc(date, "MM")
@@ -76,21 +78,32 @@ def inventory_summary(vehicles: DataFrame) -> DataFrame:
 
 
 def sales_by_vehicle_attribute(
-    contracts: DataFrame, vehicles: DataFrame, attribute: str, *keys: Column | str
+    contracts: DataFrame,
+    vehicles: DataFrame,
+    attribute: str,
+    *keys: Column | str,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Units, sales and gross profit by ``keys`` and one attribute of the vehicle.
 
-    Contracts are summed per (keys, vehicle) before the join, so a vehicle or
-    model line with very many contracts reaches the join as few rows.
+    If the vehicles fit a broadcast, contracts are joined where they lie and
+    only the totals are shuffled. Otherwise contracts are summed per (keys,
+    vehicle) before the join, so a vehicle with very many contracts reaches the
+    join as few rows.
     """
-    per_vehicle = contracts.groupBy(*keys, "vehicle_id").agg(
+    side = vehicles.select("vehicle_id", attribute)
+    totals = [
         F.count(F.lit(1)).alias("units"),
         F.sum("actual_price").alias("sales"),
         F.sum("gross_profit").alias("gross_profit"),
-    )
-    names = [c for c in per_vehicle.columns if c not in ("vehicle_id", "units", "sales", "gross_profit")]
+    ]
+    if fits_broadcast(side, broadcast_bytes):
+        joined = contracts.join(F.broadcast(side), "vehicle_id", "left")
+        return joined.groupBy(*keys, attribute).agg(*totals)
+    per_vehicle = contracts.groupBy(*keys, "vehicle_id").agg(*totals)
+    names = per_vehicle.columns[: len(keys)]
     return (
-        per_vehicle.join(vehicles.select("vehicle_id", attribute), "vehicle_id", "left")
+        per_vehicle.join(side, "vehicle_id", "left")
         .groupBy(*names, attribute)
         .agg(*(F.sum(c).alias(c) for c in ("units", "sales", "gross_profit")))
     )

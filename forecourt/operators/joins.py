@@ -51,6 +51,11 @@ def measured_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
     return sizes
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df``, as measured, may be broadcast."""
+    return max_bytes > 0 and measured_bytes({"only": df})["only"] <= max_bytes
+
+
 def broadcast_if_small(
     frames: Mapping[str, DataFrame], max_bytes: int = BROADCAST_BYTES
 ) -> dict[str, DataFrame]:

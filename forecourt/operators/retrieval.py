@@ -26,35 +26,59 @@ _ROWS_AT_ONCE = 256
 _DIGITS = 6
 
 
-def _best(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, skip_self: bool
-) -> pd.DataFrame:
-    """The ``k`` most similar vectors for each query among those given; ties go to the lower id."""
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
-    out_query, out_id, out_similarity = [], [], []
-    for start in range(0, len(query_ids), _ROWS_AT_ONCE):
-        block = np.round(queries[start : start + _ROWS_AT_ONCE] @ vectors.T, _DIGITS)
-        for query_id, row in zip(query_ids[start : start + _ROWS_AT_ONCE], block):
-            if skip_self:
-                row = np.where(ids == query_id, -np.inf, row)
-            if len(row) > k:
-                least = np.partition(row, len(row) - k)[len(row) - k]
-                above = np.flatnonzero(row > least)
-                chosen = np.concatenate([above, np.flatnonzero(row == least)[: k - len(above)]])
-            else:
-                chosen = np.arange(len(row))
-            chosen = chosen[np.isfinite(row[chosen])]
-            out_query.append(np.full(len(chosen), query_id))
-            out_id.append(ids[chosen])
-            out_similarity.append(row[chosen])
-    return pd.DataFrame(
-        {
-            "query_id": np.concatenate(out_query) if out_query else [],
-            "id": np.concatenate(out_id) if out_id else [],
-            "similarity": np.concatenate(out_similarity) if out_similarity else [],
-        }
-    )
+class _Best:
+    """The ``k`` most similar vectors seen so far for each query; ties go to the lower id.
+
+    Holds ``k`` rows per query whatever the number of vectors shown to it. A
+    vector enters only if it reaches the query's ``k``-th similarity so far.
+    """
+
+    def __init__(self, query_ids: pd.Series, queries: pd.Series, k: int, skip_self: bool):
+        self.query_ids, self.queries = _ids(query_ids), _matrix(queries)
+        self.k, self.skip_self = k, skip_self
+        self.bar = np.full(len(self.query_ids), -np.inf)
+        self.rows = None  # query position, id, similarity
+
+    def show(self, ids: pd.Series, vectors: pd.Series) -> None:
+        ids, vectors = _ids(ids), _matrix(vectors).T
+        for start in range(0, len(self.query_ids), _ROWS_AT_ONCE):
+            block = np.round(self.queries[start : start + _ROWS_AT_ONCE] @ vectors, _DIGITS)
+            if self.skip_self:
+                own = self.query_ids[start : start + _ROWS_AT_ONCE, None] == ids[None, :]
+                block[own] = -np.inf
+            bar = self.bar[start : start + _ROWS_AT_ONCE]
+            if len(ids) > self.k and np.isneginf(bar).any():
+                at = len(ids) - self.k
+                bar = np.maximum(bar, np.partition(block, at, axis=1)[:, at])
+            query, vector = np.nonzero((block >= bar[:, None]) & (block > -np.inf))
+            self._add(query + start, ids[vector], block[query, vector])
+
+    def _add(self, query: np.ndarray, ids: np.ndarray, similarity: np.ndarray) -> None:
+        if len(query) == 0:
+            return
+        rows = (query, ids, similarity)
+        if self.rows is not None:
+            rows = tuple(np.concatenate(pair) for pair in zip(self.rows, rows))
+        order = np.lexsort((rows[1], -rows[2], rows[0]))
+        query = rows[0][order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        self.rows = tuple(column[order[place < self.k]] for column in rows)
+        last = place == self.k - 1
+        self.bar[query[last]] = rows[2][order[last]]
+
+    def frame(self) -> pd.DataFrame:
+        if self.rows is None:
+            return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
+        query, ids, similarity = self.rows
+        return pd.DataFrame(
+            {"query_id": self.query_ids[query], "id": ids, "similarity": similarity}
+        )
+
+
+def _ids(column: pd.Series) -> np.ndarray:
+    """Keys as a sortable array; text sorts by code point, as it does in Spark."""
+    is_number = pd.api.types.is_numeric_dtype(column)
+    return column.to_numpy() if is_number else column.to_numpy(dtype=str)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -80,8 +104,8 @@ def topk_similar(
     """The ``k`` corpus vectors with the largest dot product for each query, exactly.
 
     Result: query_id, id, similarity (rounded to six digits) and place. Each
-    task keeps ``k`` rows per query, so no pairs are written out, and a last
-    window over those picks the final ones.
+    task keeps ``k`` rows per query and hands on only those at its end; a last
+    window picks the final ones. Both keys must be numbers or text.
 
     Query vectors measured within ``query_bytes`` go to every task and the
     corpus is read once where it lies. More queries are cut into blocks, the
@@ -102,17 +126,14 @@ def topk_similar(
         if local.empty:
             nearest = q.sparkSession.createDataFrame([], schema)
         else:
-            shared = q.sparkSession.sparkContext.broadcast(
-                (local["query_id"].to_numpy(), _matrix(local["vector"]))
-            )
+            shared = q.sparkSession.sparkContext.broadcast(local)
 
             def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                query_ids, matrix = shared.value
+                best = _Best(shared.value["query_id"], shared.value["vector"], k, skip_self)
                 for batch in batches:
                     if len(batch):
-                        yield _best(
-                            query_ids, matrix, batch["id"].to_numpy(), _matrix(batch["vector"]), k, skip_self
-                        )
+                        best.show(batch["id"], batch["vector"])
+                yield best.frame()
 
             nearest = c.mapInPandas(search, schema)
     else:
@@ -137,14 +158,9 @@ def _blocked(q, c, k, skip_self, q_blocks, c_blocks, schema) -> DataFrame:
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
-        return _best(
-            left["query_id"].to_numpy(),
-            _matrix(left["vector"]),
-            right["id"].to_numpy(),
-            _matrix(right["vector"]),
-            k,
-            skip_self,
-        )
+        best = _Best(left["query_id"], left["vector"], k, skip_self)
+        best.show(right["id"], right["vector"])
+        return best.frame()
 
     return (
         q_cells.groupBy("qb", "cb").cogroup(c_cells.groupBy("qb", "cb")).applyInPandas(cell, schema)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators.gold import month_of, ratio
+from forecourt.operators.joins import broadcast_if_small
+from forecourt.operators.text import classify
 
 # The body-type vocabulary, and the spellings that mean the same.
 BODY_TYPES = ("軽自動車", "コンパクト", "セダン", "SUV", "ミニバン", "輸入車")
@@ -40,9 +42,10 @@ def to_silver(
         F.trim("maker").alias("maker"),
         map_category("body_type", spellings).alias("category"),
     )
+    sides = broadcast_if_small({"store": store, "vehicle": vehicle})
     return (
-        contracts.join(store, "store_id", "left")
-        .join(vehicle, "vehicle_id", "left")
+        contracts.join(sides["store"], "store_id", "left")
+        .join(sides["vehicle"], "vehicle_id", "left")
         .select(
             "contract_id",
             "contract_date",
@@ -74,3 +77,24 @@ def enrich_customers(customers: DataFrame, profile: DataFrame, key: str) -> Data
     }
     joined = customers.join(side, key, "left").withColumns(filled)
     return joined.drop(*(f"_x_{c}" for c in extracted))
+
+
+def enrich_inquiries(
+    inquiries: DataFrame,
+    notes: DataFrame,
+    key: str,
+    order: str,
+    text: str,
+    labels: Mapping[str, Sequence[str]],
+    other: str = "other",
+) -> DataFrame:
+    """Inquiries with the topic of their notes: that of the note scoring highest, the earliest of equals.
+
+    ``topic`` is NULL for an inquiry without notes.
+    """
+    scored = classify(notes.select(key, order, text), text, labels, other).drop(text)
+    best = F.struct("topic_score", -F.col(order))
+    topics = scored.groupBy(F.col(key).alias("inquiry_id")).agg(
+        F.max_by("topic", best).alias("topic"), F.count(F.lit(1)).alias("notes")
+    )
+    return inquiries.join(topics, "inquiry_id", "left")

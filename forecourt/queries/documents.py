@@ -103,6 +103,26 @@ def note_topics(spark, t):
     return text.classify(t["sl_notes"], "text", NOTE_TOPICS).drop("text")
 
 
+@query(
+    "silver_inquiries_enriched",
+    with_tables("sl_notes", "sl_inquiries")
+    + f""", scored AS (
+  SELECT note_id, turn, best,
+    CASE WHEN best = 0 THEN 'other' {" ".join(f"WHEN {k} = best THEN '{k}'" for k in NOTE_TOPICS)} END AS topic
+  FROM (SELECT *, greatest({", ".join(NOTE_TOPICS)}) AS best
+    FROM (SELECT note_id, turn, {_SCORES_SQL} FROM (SELECT note_id, turn, {_WORDS_SQL} AS w FROM sl_notes))))
+SELECT i.*, t.topic, t.notes FROM sl_inquiries i LEFT JOIN (
+  SELECT note_id, topic, notes FROM (SELECT *, count(*) OVER (PARTITION BY note_id) AS notes,
+      row_number() OVER (PARTITION BY note_id ORDER BY best DESC, turn) AS place FROM scored)
+  WHERE place = 1) t ON i.inquiry_id = t.note_id""",
+)
+def inquiries_enriched(spark, t):
+    """Inquiries with the topic of their notes."""
+    return silver.enrich_inquiries(
+        t["sl_inquiries"], t["sl_notes"], "note_id", "turn", "text", NOTE_TOPICS
+    )
+
+
 NOTE_RULES = {
     "opening": r"^([A-Za-zÀ-ÿ]+)",
     "relation": r"[ \n](with|from|mit|von|avec|dans|con|para)[ ,.\n]",

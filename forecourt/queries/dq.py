@@ -42,7 +42,7 @@ def year_range(spark, t):
 @query(
     "dq_id_length",
     _VEHICLES
-    + "\nSELECT length(vin) AS vin_length, count(*) AS n FROM sl_vehicles GROUP BY 1",
+    + "\nSELECT CAST(length(vin) AS INT) AS vin_length, count(*) AS n FROM sl_vehicles GROUP BY 1",
 )
 def id_length(spark, t):
     """Distribution of identifier lengths; 17 is the valid one."""
@@ -113,6 +113,44 @@ def pk_violations(spark, t):
     return quality.check_pk(t["lineitem"], ["l_orderkey", "l_linenumber"])
 
 
+# Tables and their keys; the last one is not a key and is violated.
+PRIMARY_KEYS = (
+    ("sl_stores", ("store_id",)),
+    ("sl_vehicles", ("vehicle_id",)),
+    ("sl_customers", ("customer_id",)),
+    ("sl_market_index", ("date", "vehicle_category")),
+    ("sl_inquiries", ("inquiry_id",)),
+    ("sl_contracts", ("contract_id",)),
+    ("sl_notes", ("note_id", "turn")),
+    ("lineitem", ("l_orderkey", "l_linenumber")),
+)
+
+
+@query(
+    "dq_primary_keys",
+    with_tables(*(name for name, _ in PRIMARY_KEYS if name.startswith("sl_")))
+    + "\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{name} ({', '.join(keys)})' AS primary_key, count(*) AS bad_keys, "
+        f"CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM (SELECT {', '.join(keys)}, count(*) AS n "
+        f"FROM {name} GROUP BY {', '.join(keys)}) "
+        f"WHERE n > 1 OR {' OR '.join(f'{key} IS NULL' for key in keys)}"
+        for name, keys in PRIMARY_KEYS
+    ),
+)
+def primary_keys(spark, t):
+    """Repeated or missing key values, for each table."""
+    found = [
+        quality.check_pk(t[name], keys).agg(
+            F.lit(f"{name} ({', '.join(keys)})").alias("primary_key"),
+            F.count(F.lit(1)).alias("bad_keys"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("bad_rows"),
+        )
+        for name, keys in PRIMARY_KEYS
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 # Child table and column, parent table and key.
 FOREIGN_KEYS = (
     ("sl_vehicles", "store_id", "sl_stores", "store_id"),

@@ -19,7 +19,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    # Keys remembered by streaming duplicate removal outgrow the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 LOCAL_CONF = {

@@ -40,6 +40,29 @@ def plain(value):
     return (type(value).__name__, str(value))
 
 
+SPARK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "smallint": "SMALLINT",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(frame, cursor) -> list[str]:
+    """Columns whose type names do not correspond."""
+    want = {d[0]: str(d[1]).upper() for d in cursor.description}
+    return [
+        f"{name}: {kind} / {want.get(name)}"
+        for name, kind in frame.dtypes
+        if SPARK_TYPES.get(kind, kind) != want.get(name)
+    ]
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), sorted(repr([plain(r[i]) for i in order]) for r in rows)
@@ -72,16 +95,19 @@ def main() -> int:
             start = time.perf_counter()
             cursor = duck.execute(ORACLES[name])
             columns = [d[0] for d in cursor.description]
+            types = type_differences(frame, cursor)
             want = rows_of(columns, cursor.fetchall())
             duck_took = time.perf_counter() - start
         except Exception as error:  # report and go on with the next query
             bad += 1
             print(f"ERROR {name}: {str(error)[:1500]}")
             continue
-        same = got == want
+        same = got == want and not types
         bad += not same
         print(f"{'ok   ' if same else 'DIFF '} {name:28} {len(got[1]):7} rows {took:6.2f}s duckdb {duck_took:5.2f}s")
         if not same:
+            if types:
+                print("   types", types)
             if got[0] != want[0]:
                 print("   columns", got[0], want[0])
             only_got = [r for r in got[1] if r not in set(want[1])]
