@@ -68,10 +68,14 @@ class _Best:
 
     def frame(self) -> pd.DataFrame:
         if self.rows is None:
-            return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
+            return _nothing()
         query, ids, similarity = self.rows
         return pd.DataFrame(
-            {"query_id": self.query_ids[query], "id": ids, "similarity": similarity}
+            {
+                "query_id": _plain(self.query_ids[query]),
+                "id": _plain(ids),
+                "similarity": similarity,
+            }
         )
 
 
@@ -81,6 +85,17 @@ def _ids(column: pd.Series) -> np.ndarray:
     return column.to_numpy() if is_number else column.to_numpy(dtype=str)
 
 
+def _nothing() -> pd.DataFrame:
+    # Empty object columns convert to any key type, empty float columns do not.
+    empty = pd.Series([], dtype=object)
+    return pd.DataFrame({"query_id": empty, "id": empty, "similarity": empty})
+
+
+def _plain(ids: np.ndarray) -> pd.Series:
+    """Text keys as Python strings; pandas' own string type may not reach Arrow in one piece."""
+    return pd.Series(ids.astype(object), dtype=object) if ids.dtype.kind == "U" else pd.Series(ids)
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
@@ -157,7 +172,7 @@ def _blocked(q, c, k, skip_self, q_blocks, c_blocks, schema) -> DataFrame:
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
+            return _nothing()
         best = _Best(left["query_id"], left["vector"], k, skip_self)
         best.show(right["id"], right["vector"])
         return best.frame()

@@ -39,6 +39,16 @@ def test_same_as_brute_force(vectors, skip_self, options):
     assert sorted(search(df, skip_self=skip_self, **options)) == sorted(brute(data, data, 4, skip_self))
 
 
+@pytest.mark.parametrize("options", [{}, {"query_bytes": 0, "block_bytes": 8}])
+def test_text_keys_and_empty_tasks(spark, options):
+    corpus = spark.createDataFrame([("b", [1.0]), ("a", [1.0]), ("é", [3.0])], "id string, v array<float>")
+    asked = spark.createDataFrame([("q", [2.0])], "q string, v array<float>")
+    out = retrieval.topk_similar(
+        asked, corpus.repartition(8), 2, query_key="q", key="id", vector="v", **options
+    )
+    assert rows(out) == [("q", "é", 6.0, 1), ("q", "a", 2.0, 2)]
+
+
 def test_k_beyond_the_corpus_and_missing_vectors(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (3, None)], "id long, v array<float>")
     assert sorted(search(df, skip_self=True)) == [(1, 2, 2.0, 1), (2, 1, 2.0, 1)]
