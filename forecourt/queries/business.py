@@ -246,13 +246,13 @@ def scatter(spark, t):
     _RM
     + """
 SELECT c.segment, count(*) AS customers, count(*) FILTER (WHERE r.n_contracts > 0) AS buyers,
-  round(sum(r.total_value), 4) AS total_value, round(avg(r.total_value), 6) AS value_per_customer,
-  round(sum(r.total_value) / nullif(sum(r.n_contracts), 0), 6) AS value_per_contract
+  round(sum(r.total_value), 4) AS total_value, round(avg(r.total_value), 2) AS value_per_customer,
+  round(sum(r.total_value) / nullif(sum(r.n_contracts), 0), 2) AS value_per_contract
 FROM rm r JOIN sl_customers c ON r.customer_id = c.customer_id GROUP BY 1""",
 )
 def ltv(spark, t):
     """Customer value by market segment."""
-    return rounded(analysis.ltv(t, AS_OF), {"value_per_customer": 6, "value_per_contract": 6})
+    return rounded(analysis.ltv(t, AS_OF), {"value_per_customer": 2, "value_per_contract": 2})
 
 
 @query(
