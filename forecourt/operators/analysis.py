@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from forecourt.functions.bands import band
 from forecourt.operators import gold
 from forecourt.operators.gold import month_of, ratio
+from forecourt.operators.joins import BROADCAST_BYTES, fits_broadcast
 
 Tables = Mapping[str, DataFrame]
 
@@ -94,26 +95,36 @@ def store_ranking(tables: Tables) -> DataFrame:
     )
 
 
-def top3_segment(tables: Tables, k: int = 3) -> DataFrame:
+def top3_segment(
+    tables: Tables, k: int = 3, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """The ``k`` most contracted models in each customer segment; ties go by model name.
 
-    Contracts are counted per (customer, vehicle), then per (segment, vehicle),
-    so neither join carries more rows of one customer or vehicle than it has
-    partners.
+    Unless both dimensions fit a broadcast, contracts are counted per (customer,
+    vehicle), then per (segment, vehicle), so neither join carries more rows of
+    one customer or vehicle than it has partners.
     """
     customers = tables["sl_customers"].select("customer_id", "segment")
     vehicles = tables["sl_vehicles"].select("vehicle_id", "model")
-    counted = (
-        tables["sl_contracts"]
-        .groupBy("customer_id", "vehicle_id")
-        .agg(_count().alias("units"))
-        .join(customers, "customer_id")
-        .groupBy("segment", "vehicle_id")
-        .agg(F.sum("units").alias("units"))
-        .join(vehicles, "vehicle_id")
-        .groupBy("segment", "model")
-        .agg(F.sum("units").alias("units"))
-    )
+    deals = tables["sl_contracts"].select("customer_id", "vehicle_id")
+    if fits_broadcast(customers, broadcast_bytes) and fits_broadcast(vehicles, broadcast_bytes):
+        counted = (
+            deals.join(F.broadcast(customers), "customer_id")
+            .join(F.broadcast(vehicles), "vehicle_id")
+            .groupBy("segment", "model")
+            .agg(_count().alias("units"))
+        )
+    else:
+        counted = (
+            deals.groupBy("customer_id", "vehicle_id")
+            .agg(_count().alias("units"))
+            .join(customers, "customer_id")
+            .groupBy("segment", "vehicle_id")
+            .agg(F.sum("units").alias("units"))
+            .join(vehicles, "vehicle_id")
+            .groupBy("segment", "model")
+            .agg(F.sum("units").alias("units"))
+        )
     order = Window.partitionBy("segment").orderBy(F.desc("units"), "model")
     return counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
@@ -179,17 +190,23 @@ def market_gap(tables: Tables) -> DataFrame:
 IN_STOCK = "在庫中"
 
 
-def turnover_days(tables: Tables, as_of: dt.date) -> DataFrame:
+def turnover_days(
+    tables: Tables, as_of: dt.date, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Days from stocking to contract, and days in stock so far, by body type.
 
-    Contracts dated before the vehicle was stocked are left out.
+    Contracts dated before the vehicle was stocked are left out. Unless the
+    vehicles fit a broadcast, contracts are counted per vehicle and day first.
     """
     vehicles = tables["sl_vehicles"].select("vehicle_id", "body_type", "stocked_date", "status")
+    stocked = vehicles.select("vehicle_id", "body_type", "stocked_date")
+    deals = tables["sl_contracts"].select("vehicle_id", "contract_date")
+    if fits_broadcast(stocked, broadcast_bytes):
+        deals, stocked = deals.withColumn("units", F.lit(1)), F.broadcast(stocked)
+    else:
+        deals = deals.groupBy("vehicle_id", "contract_date").agg(_count().alias("units"))
     sold = (
-        tables["sl_contracts"]
-        .groupBy("vehicle_id", "contract_date")
-        .agg(_count().alias("units"))
-        .join(vehicles, "vehicle_id")
+        deals.join(stocked, "vehicle_id")
         .filter("contract_date >= stocked_date")
         .withColumn("days", F.datediff("contract_date", "stocked_date"))
         .groupBy("body_type")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.joins import BROADCAST_BYTES, fits_broadcast
+from forecourt.operators.joins import BROADCAST_BYTES, broadcast_if_small, fits_broadcast
 
 def month_of(date: str) -> Column:
     """First day of the month, as DATE."""
@@ -138,9 +138,9 @@ def margin_score(contracts: DataFrame, vehicles: DataFrame) -> DataFrame:
     every contract of a large group into one task.
     """
     group = ["month", "store_id", "category"]
-    rated = contracts.join(
-        vehicles.select("vehicle_id", F.col("body_type").alias("category")), "vehicle_id", "left"
-    ).select(
+    side = vehicles.select("vehicle_id", F.col("body_type").alias("category"))
+    side = broadcast_if_small({"vehicle": side})["vehicle"]
+    rated = contracts.join(side, "vehicle_id", "left").select(
         "contract_id",
         month_of("contract_date").alias("month"),
         "store_id",

@@ -13,7 +13,10 @@ LISTED_MONTHS = 1200
 
 
 def add_batch(contracts: DataFrame, base: str, batch: str) -> str:
-    """Store one load of contracts by month. Loading the same batch again replaces it."""
+    """Store one load of contracts by month.
+
+    Loading the same rows as the same batch again changes nothing.
+    """
     stamped = contracts.withColumns(
         {"batch": F.lit(batch), "sales_month": month_of("contract_date")}
     )
