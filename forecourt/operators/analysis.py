@@ -19,6 +19,7 @@ from forecourt.functions.bands import band
 from forecourt.operators import gold
 from forecourt.operators.gold import month_of, ratio
 from forecourt.operators.joins import BROADCAST_BYTES, fits_broadcast
+from forecourt.operators.ranking import ranked
 
 Tables = Mapping[str, DataFrame]
 
@@ -63,35 +64,55 @@ def top_store_prev_month(tables: Tables, as_of: dt.date) -> DataFrame:
     return F.broadcast(best).join(tables["sl_stores"].select("store_id", "store_name"), "store_id")
 
 
-def store_ranking(tables: Tables) -> DataFrame:
+def _ranked(df: DataFrame, value: str, in_one_task: bool) -> DataFrame:
+    """``df`` with the ``rank`` and ``dense_rank`` of ``value`` within each month."""
+    df = df.filter(F.col("month").isNotNull() & F.col(value).isNotNull())
+    if not in_one_task:
+        return ranked(df, "month", value)
+    best_first = Window.partitionBy("month").orderBy(F.desc(value))
+    return df.withColumns(
+        {"rank": F.rank().over(best_first), "dense_rank": F.dense_rank().over(best_first)}
+    )
+
+
+def store_ranking(tables: Tables, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Stores by gross profit within each month, next to the rank of their area.
 
     ``store_rank`` leaves gaps after ties; ``area_rank``, by the area's total of
-    the month, does not. The windows hold one row per store or area and month.
+    the month, does not. Contracts without date or profit are not ranked. A
+    month's window holds one row per store, which one task can sort if the
+    stores fit a broadcast; otherwise the months are ranked in pieces.
     """
     stores = tables["sl_stores"].select("store_id", "prefecture")
+    few = fits_broadcast(stores, broadcast_bytes)
     monthly = (
         tables["sl_contracts"]
         .groupBy(month_of("contract_date").alias("month"), "store_id")
         .agg(_sum("gross_profit"))
-        .join(stores, "store_id", "left")
+        .join(F.broadcast(stores) if few else stores, "store_id", "left")
     )
-    in_month = Window.partitionBy("month")
-    areas = (
-        monthly.groupBy(F.col("month").alias("area_month"), F.col("prefecture").alias("area"))
-        .agg(F.round(F.sum("gross_profit"), _CENTS).alias("area_profit"))
-        .withColumn(
-            "area_rank",
-            F.dense_rank().over(Window.partitionBy("area_month").orderBy(F.desc("area_profit"))),
-        )
+    areas = monthly.groupBy("month", F.col("prefecture").alias("area")).agg(
+        F.round(F.sum("gross_profit"), _CENTS).alias("area_profit")
+    )
+    areas = _ranked(areas, "area_profit", few).select(
+        F.col("month").alias("area_month"), "area", "area_profit", F.col("dense_rank").alias("area_rank")
     )
     same_area = (F.col("month") == F.col("area_month")) & F.col("prefecture").eqNullSafe(
         F.col("area")
     )
     return (
-        monthly.withColumn("store_rank", F.rank().over(in_month.orderBy(F.desc("gross_profit"))))
+        _ranked(monthly, "gross_profit", few)
+        .withColumnRenamed("rank", "store_rank")
         .join(areas, same_area, "left")
-        .drop("area", "area_month")
+        .select(
+            "month",
+            "store_id",
+            "prefecture",
+            "gross_profit",
+            "store_rank",
+            "area_profit",
+            "area_rank",
+        )
     )
 
 

@@ -20,11 +20,13 @@ _VEHICLE = Join("vehicle", "sl_vehicles", "source.vehicle_id = vehicle.vehicle_i
 _CUSTOMER = Join("customer", "sl_customers", "source.customer_id = customer.customer_id")
 
 
-def _store_dimensions() -> tuple[Dimension, ...]:
+def _store_dimensions(*more_format_synonyms: str) -> tuple[Dimension, ...]:
     return (
         Dimension("店舗名", "store.store_name", ("店名", "store", "store name")),
         Dimension("都道府県", "store.prefecture", ("県", "エリア", "prefecture", "region")),
-        Dimension("店舗業態", "store.format", ("業態", "format", "store format")),
+        Dimension(
+            "店舗業態", "store.format", ("業態", "format", "store format", *more_format_synonyms)
+        ),
     )
 
 
@@ -61,7 +63,7 @@ KPI_SALES = MetricView(
             _DATE,
         ),
         Dimension("契約日", "source.contract_date", ("日付", "contract date", "date"), _DATE),
-        *_store_dimensions(),
+        *_store_dimensions("type"),
         *_vehicle_dimensions("vehicle"),
     ),
     measures=(

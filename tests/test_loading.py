@@ -66,6 +66,15 @@ def test_layers_from_files_to_gold(spark, notes, tmp_path):
     assert paths["bronze"].endswith("/bz_notes") and paths["daily"].endswith("/gd_daily")
 
 
+def test_repeats_within_the_watermark_are_dropped(spark, notes, tmp_path):
+    feed = Feed("notes", RAW, {"id": "int", "ts": "timestamp"}, ("id",), event_time="ts")
+    base, landing = str(tmp_path / "base"), str(tmp_path / "landing")
+    for _ in range(2):
+        files.write_daily(notes, "ts", landing)
+    paths = run_medallion(spark, landing, base, feed, {})
+    assert rows(spark.read.parquet(paths["silver"]).select("id")) == [(i,) for i in range(1, 6)]
+
+
 def test_repeating_a_partition_write_changes_nothing(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, p string")
     for part in (df, df.filter("p = 'b'")):

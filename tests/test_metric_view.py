@@ -146,6 +146,17 @@ def test_missing_source_table(spark):
         KPI_SALES.query(spark, ["店舗名"], ["契約件数"], tables={})
 
 
+def test_tables_come_from_the_session_if_not_given(spark, business):
+    for name in ("sl_contracts", "sl_stores"):
+        business[name].createOrReplaceTempView(name)
+    try:
+        out = KPI_SALES.query(spark, ["type"], ["契約件数"])
+        assert rows(out) == [("plaza", 2), ("import", 1), (None, 1)]
+    finally:
+        for name in ("sl_contracts", "sl_stores"):
+            spark.catalog.dropTempView(name)
+
+
 def test_metadata_is_on_the_columns(spark, business):
     out = KPI_SALES.query(spark, ["店舗名"], ["売上合計"], tables=business)
     assert out.schema["売上合計"].metadata["synonyms"][0] == "売上"

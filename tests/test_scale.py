@@ -6,10 +6,12 @@ import datetime as dt
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import final_plan, plan, rows
 from forecourt.operators import analysis, gold
+from forecourt.operators.ranking import ranked
 from forecourt.plans.views import KPI_SALES
 from forecourt.queries import QUERIES
 
@@ -95,8 +97,23 @@ def test_vehicle_sums_are_the_same_on_both_ways(spark, skewed):
     assert plan(near).count("Exchange (") <= plan(far).count("Exchange (")
 
 
+@pytest.mark.parametrize("pieces", [2, 7, 500])
+def test_ranks_in_pieces_are_exact(spark, pieces):
+    n = F.col("id")
+    df = spark.range(4000).select(
+        n,
+        F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), n % 5)).alias("g"),
+        F.when(n % 4 == 0, 0.0).otherwise((n * 37 % 500).cast("double")).alias("v"),  # many ties
+    )
+    best_first = Window.partitionBy("g").orderBy(F.desc("v"))
+    want = df.select("id", F.rank().over(best_first), F.dense_rank().over(best_first))
+    got = ranked(df, "g", "v", pieces).select("id", "rank", "dense_rank")
+    assert rows(got) == rows(want)
+    assert ranked(df.limit(0), "g", "v", pieces).isEmpty()
+
+
 def test_analyses_are_the_same_on_both_ways(business):
-    for fn in (analysis.top3_segment, lambda t, **k: analysis.turnover_days(t, dt.date(2001, 8, 1), **k)):
+    for fn in (analysis.store_ranking, analysis.top3_segment, lambda t, **k: analysis.turnover_days(t, dt.date(2001, 8, 1), **k)):
         assert rows(fn(business)) == rows(fn(business, broadcast_bytes=0))
 
 
