@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from forecourt.operators import gold
-from forecourt.plans.spec import Format, Measure
+from forecourt.plans.spec import Measure
 from forecourt.plans.views import KPI_CUSTOMER, KPI_INQUIRY, KPI_INVENTORY, KPI_SALES
 from forecourt.queries.registry import TODAY, query, rounded
 from forecourt.sources.bindings import AS_OF, with_tables

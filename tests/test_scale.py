@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from contextlib import contextmanager
+from functools import partial
 
 import pytest
 from pyspark.sql import Window
@@ -113,7 +114,8 @@ def test_ranks_in_pieces_are_exact(spark, pieces):
 
 
 def test_analyses_are_the_same_on_both_ways(business):
-    for fn in (analysis.store_ranking, analysis.top3_segment, lambda t, **k: analysis.turnover_days(t, dt.date(2001, 8, 1), **k)):
+    turnover_days = partial(analysis.turnover_days, as_of=dt.date(2001, 8, 1))
+    for fn in (analysis.store_ranking, analysis.top3_segment, turnover_days):
         assert rows(fn(business)) == rows(fn(business, broadcast_bytes=0))
 
 
