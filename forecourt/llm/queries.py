@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from forecourt.llm.decontaminate import q_decontamination
+from forecourt.llm.license_scan import q_license_scan
 from forecourt.llm.line_dedup import LINE_DEDUP_SQL, q_line_dedup
+from forecourt.llm.packing import q_packing
+from forecourt.llm.token_counts import q_token_counts
 
 QUERIES = {
     "op1_line_dedup": q_line_dedup,
+    "op2_packing": q_packing,
+    "op3_license_scan": q_license_scan,
+    "op6_decontamination": q_decontamination,
+    "op8_token_counts": q_token_counts,
 }
 
 ORACLES = {
