@@ -54,3 +54,35 @@ def drop_names(df: DataFrame, *names: str) -> DataFrame:
     """Without columns that an operator is about to add, whatever their case."""
     doomed = {n.lower() for n in names}
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in doomed))
+
+
+def broadcast_if_few(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most so many (narrow) rows; otherwise as it is, to be shuffled."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+
+
+BITMAP_BITS = 1 << 20
+
+
+def bitmap_test(hashes: DataFrame, hash_col: str) -> Column | None:
+    """An array of a fixed number of bits, as a constant, with the bit of every hash set; None if there is no row.
+
+    ``in_bitmap`` is then true for each of these hashes and for few others, whatever the number of rows was.
+    """
+    bit = F.pmod(F.col(hash_col), F.lit(BITMAP_BITS))
+    words = hashes.groupBy(F.floor(bit / 64).cast("int").alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))).alias("bits")
+    )
+    rows = words.collect()  # at most BITMAP_BITS / 64 rows
+    if not rows:
+        return None
+    bits = [0] * (BITMAP_BITS // 64)
+    for at, value in rows:
+        bits[at] = value
+    return F.from_json(F.lit(str(bits)), "array<bigint>")
+
+
+def in_bitmap(bitmap: Column, hashed: Column) -> Column:
+    bit = F.pmod(hashed, F.lit(BITMAP_BITS))
+    own = F.get(bitmap, F.floor(bit / 64).cast("int"))
+    return F.call_function("shiftrightunsigned", own, (bit % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
