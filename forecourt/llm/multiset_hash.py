@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import documents
+from forecourt.llm.common import documents, written
 from forecourt.llm.spans import let
 
 LEVELS, WIDTH = 8, 32
@@ -147,7 +147,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         F.xxhash64(F.lit(1), *identity).alias("b"),
         F.floor(F.length(value) / 2).cast("int").alias("half"),
     ).dropDuplicates(["a", "b"])
-    ranged = order.repartitionByRange("doc_id", "a", "b").withColumn("range", F.spark_partition_id())
+    # Written, because ranges are cut by a sample: both uses below must see the same ones.
+    ranged = written(order.repartitionByRange("doc_id", "a", "b").withColumn("range", F.spark_partition_id()), "order")
     place = F.struct("doc_id", "a", "b")
     inner = ranged.withColumn("next", F.lead(place).over(Window.partitionBy("range").orderBy("doc_id", "a", "b")))
     heads = ranged.groupBy("range").agg(F.min(place).alias("head"))  # a row per range
