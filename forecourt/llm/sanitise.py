@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import bitmap_test, documents, drop_names, free_name, in_bitmap, text_key, text_or_empty
+from forecourt.llm.common import bitmap_test, documents, drop_names, free_name, in_bitmap, text_key, text_or_empty, written
 from forecourt.llm.spans import folded, found_spans, let, listed
 
 BASE = ("email", "ip", "card", "phone")
@@ -202,7 +202,8 @@ def sanitise(docs: DataFrame, text_col: str = "text", threshold: float = THRESHO
     """``docs`` with spans per base kind, ``term_spans`` and the ``sanitised`` text: entities become their kind's
     name, terms their general form or nothing."""
     found = _with_base(drop_names(docs, *BASE, "term_spans", "sanitised"), text_col)
-    found = find_terms(found, term_disclosure(docs, text_col, threshold, support), text_col)
+    terms = written(term_disclosure(docs, text_col, threshold, support), "terms")
+    found = find_terms(found, terms, text_col)
 
     def replaced(kind: str) -> Column:
         name = F.lit(f"[{kind.upper()}]").alias("put")
