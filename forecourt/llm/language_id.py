@@ -164,7 +164,9 @@ def identify(
     """
     docs = drop_names(docs, "language", "probability", "text_language", "accepted")
     names = docs.columns
-    said, at_host, at_suffix, score, prior = (free_name(names, n) for n in ("said", "at_host", "at_suffix", "score", "prior"))
+    said, at_host, at_suffix, score, prior, of_host = (
+        free_name(names, n) for n in ("said", "at_host", "at_suffix", "score", "prior", "of_host")
+    )
     nothing = F.lit(None).cast("string")
     rows = docs.withColumn(said, F.col(f"`{declared}`").cast("string") if declared else nothing)
     rows = rows.withColumn(at_host, F.col(f"`{host}`").cast("string") if host else nothing)
@@ -183,8 +185,8 @@ def identify(
     priors, without = host_priors(rows, at_host, at_suffix, said, languages)
 
     scored = text_scores(rows, text_col, score, model, keep_text)
-    priors = broadcast_if_few(priors.select(F.col("host").alias(f"{prior}_host"), F.col("prior").alias(prior)))
-    joined = scored.join(priors, F.col(at_host) == F.col(f"{prior}_host"), "left").drop(f"{prior}_host")
+    priors = broadcast_if_few(priors.select(F.col("host").alias(of_host), F.col("prior").alias(prior)))
+    joined = scored.join(priors, F.col(at_host) == F.col(of_host), "left").drop(of_host)
 
     def constant(values: list[float]) -> Column:
         return F.array(*map(F.lit, values))

@@ -73,17 +73,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("h1", "h2", "kept")
     )
     later = windows.join(repeated, ["h1", "h2"]).filter(F.col("kept") < at)
-    covered = later.groupBy(F.col("doc.id").alias("c_id"), F.col("doc.key").alias("c_key")).agg(
-        F.collect_set(F.struct("first", "last")).alias("c_spans")
-    )
-
     docs = drop_names(docs, "n_lines", "n_removed")
-    key, lines, cut = (free_name(docs.columns, n) for n in ("key", "lines", "cut"))
+    key, lines, cut, c_id, c_key, c_spans = (
+        free_name(docs.columns, n) for n in ("key", "lines", "cut", "c_id", "c_key", "c_spans")
+    )
+    covered = later.groupBy(F.col("doc.id").alias(c_id), F.col("doc.key").alias(c_key)).agg(
+        F.collect_set(F.struct("first", "last")).alias(c_spans)
+    )
     names = [F.col(f"`{c}`") for c in docs.columns]
     joined = docs.withColumn(key, text_key(text_col)).join(
-        covered, F.col(f"`{id_col}`").eqNullSafe(F.col("c_id")) & (F.col(key) == F.col("c_key")), "left"
+        covered, F.col(f"`{id_col}`").eqNullSafe(F.col(c_id)) & (F.col(key) == F.col(c_key)), "left"
     )
-    positions = F.array_distinct(F.flatten(F.transform("c_spans", lambda s: F.sequence(s["first"], s["last"]))))
+    positions = F.array_distinct(F.flatten(F.transform(c_spans, lambda s: F.sequence(s["first"], s["last"]))))
     shaped = joined.select(
         *names, _lines(text_or_empty(text_col)).alias(lines), F.coalesce(positions, F.array().cast("array<int>")).alias(cut)
     )

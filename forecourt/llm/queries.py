@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from forecourt.llm import oracles
 from forecourt.llm.chosen_path import q_near_duplicates
 from forecourt.llm.decontaminate import q_decontamination
 from forecourt.llm.language_id import q_language_id, q_page_language
@@ -29,4 +30,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP_SQL,
+    "op4_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op5_personal_data": oracles.PERSONAL_DATA,
+    "op10_secret_scan": oracles.SECRET_SCAN,
 }

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import documents, shared_folder, text_or_empty
+from forecourt.llm.common import documents, drop_names, shared_folder, text_or_empty
 from forecourt.llm.spans import SPANS, found_spans
 
 RULES = "2"  # to be raised whenever a rule below changes
@@ -92,9 +92,14 @@ def update(versions: DataFrame, path: str, rules: str = RULES, text_col: str = "
 
 
 def join_paths(versions: DataFrame, ledger: DataFrame, rules: str = RULES, text_col: str = "text") -> DataFrame:
-    """Every row of ``versions`` (without its text) with its address and the findings in its content."""
+    """Every row of ``versions`` (without its text) with its address, ``blob``, and the findings in its content.
+
+    Columns of ``versions`` that are called like these are replaced.
+    """
+    versions = versions.withColumn(text_col, address(text_col))
+    versions = drop_names(versions, *({"blob", *BASE, *EXTRA} - {text_col}))
     paths = versions.select(
-        *(F.col(f"`{c}`") for c in versions.columns if c != text_col), address(text_col).alias("blob")
+        *(F.col(f"`{c}`") for c in versions.columns if c != text_col), F.col(f"`{text_col}`").alias("blob")
     )
     current = ledger.filter(F.col("rules") == rules).drop("rules").dropDuplicates(["blob"])
     return paths.join(current, "blob", "left")

@@ -64,9 +64,10 @@ def test_cluster_against_brute_force(cluster):
     assert found(cluster[0]) == sorted(by_hand(cluster[1]))
 
 
-@pytest.mark.parametrize(("leaf", "depth"), [(20, 8), (16, 1)])
-def test_branched_nodes_and_blocks(cluster, monkeypatch, leaf, depth):
+@pytest.mark.parametrize(("leaf", "wide", "depth"), [(20, 1, 6), (16, 1, 1), (16, 8, 1)])
+def test_branched_nodes_and_blocks(cluster, monkeypatch, leaf, wide, depth):
     monkeypatch.setattr(chosen_path, "LEAF", leaf)
+    monkeypatch.setattr(chosen_path, "WIDE", wide)
     monkeypatch.setattr(chosen_path, "DEPTH", depth)
     assert found(cluster[0]) == sorted(by_hand(cluster[1]))
 
@@ -79,6 +80,11 @@ def test_documents(spark):
     assert kept == {doc for doc, _, least in want if doc == least}
 
 
+def test_nodes_are_split_by_the_shingles_they_hold(cluster, monkeypatch):
+    monkeypatch.setattr(chosen_path, "LEAF_SHINGLES", 2000)
+    assert found(cluster[0]) == sorted(by_hand(cluster[1]))
+
+
 def test_chain_is_one_component(spark):
     words = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(words[i : i + 40])) for i in range(20)]

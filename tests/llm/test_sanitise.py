@@ -41,9 +41,9 @@ HARD = [
     "1.2.3.4.5.6.7.8 256.1.1.1 0000255.00.1.01 1.2.3 1..2.3.4 9.9.9.9",
     "4111 1111 1111 1111 4111-1111-1111-1111 41111111111111112 4111 1111  1111 1111 0000000000000",
     "+1 (988) 555-2485 +1234567 ++49 30 1234567 +1 ((( 5 +44-20.7946.0958 and +123456789012345678",
-    "a" * 150_000,
+    "a" * 15_000,
     "x@" + "y." * 20_000 + "z",
-    "1" * 100_000 + " " + "1.2.3." * 9000,
+    "1" * 10_000 + " " + "1.2.3." * 9000,
     " ".join(f"u{i}@h.example.com +1 555 {1000000 + i} 10.0.0.{i % 300}" for i in range(700)),
     "+" + "1 " * 30_000,
 ]

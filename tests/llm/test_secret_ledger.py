@@ -53,7 +53,7 @@ def test_base_spans_against_brute_force(spark, docs):
 
 def test_added_kinds(spark):
     jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.abcdefgh"
-    text = f"x -----BEGIN RSA PRIVATE KEY----- {jwt} ghp_{'a1' * 18} sk_live_{'b' * 24}"
+    text = f"x -----BEGIN RSA PRIVATE KEY----- {jwt} ghp_{'z9' * 18} sk_live_{'y' * 24}"
     spans = query(spark, [(1, text)])[0].spans.split(",")
     assert [s.split(":")[0] for s in spans] == ["pem", "jwt", "prefixed", "prefixed"]
     a, b = map(int, spans[1].split(":")[1:])
