@@ -2,20 +2,20 @@
 
 1. Each document's lower-cased words give a set of five-word shingles, kept as 64-bit hashes. Documents with one set are
    one class (by 128 bits of hash); everything after that works on classes, so copies cost nothing.
-2. Each class has 128 minwise tokens. Each of eight independent trees branches all classes by one of them. A node with
-   more than 512 classes is branched again, by two tokens chosen by the node, and so on. Two sets of similarity J share
+2. Each class has 128 minwise tokens. Each of eight independent trees branches all classes by one of them. A node too
+   large to be compared is branched again, by two tokens chosen by the node, and so on. Two sets of similarity J share
    a tree's first node with probability J, so eight trees miss a pair of similarity 0.75 with probability 1.5e-5
    (``(1 - J) ** trees``); below that, two choices a level keep a pair with probability over 0.66 a tree at any depth.
-3. Nodes of at most 512 classes are compared exhaustively: first by their minwise tokens, at a bar that a pair at the
-   threshold fails with probability 1e-5; then the full sets of classes that have a partner above the bar are brought
-   to the node and compared exactly. A pair is compared in the first tree that has it in such a node. A node hands on a
-   spanning forest of its links, never all pairs.
-4. A node that is still larger at the last depth is compared in blocks: each pair of blocks is a node of its own. No
-   partner is dropped.
+3. Small nodes, of at most 2048 classes and 32 MB of sets, are compared exhaustively: first by their minwise tokens, at
+   a bar that a pair at the threshold fails with probability 1e-5; then the full sets of classes that have a partner
+   above the bar are brought to the node and compared exactly. A pair is compared in the first tree that has it in such
+   a node. A node hands on a spanning forest of its links, never all pairs.
+4. A node up to eight times as large is compared in blocks: each pair of blocks is a small node of its own. So is a
+   node that is still larger at the last depth. No partner is dropped.
 5. Components of the links give each document its class's smallest document id.
 
 Full sets are made again from the text, only for classes that need them; texts are picked by a bitmap of fixed size before any
-moves. Nodes are at most 512 sets, so no task holds a group that grows with the corpus.
+moves. Small nodes are bounded, so no task holds a group that grows with the corpus.
 
 Defined results: a null or blank text has an empty set and is linked with nothing (its component is itself); fewer
 than five words are one shingle; documents are rows: rows alike in id and text stay or go together, rows with one id
@@ -40,10 +40,14 @@ WORDS = 5
 PERCENT = 75  # similarity that links, in percent
 TOKENS = 128  # minwise tokens per class
 TREES = 8
-LEAF = 512  # classes that a node may have to be compared exhaustively
+LEAF = 2048  # classes that a node may have to be compared by one task
+LEAF_SHINGLES = 1 << 22  # and shingles of all of them
+WIDE = 8  # times as large a node is compared in blocks; beyond, it is branched
 DEPTH = 8  # levels below the first
+ALL = -1  # side of members that are compared with every other one
 BAR = 0.58  # share of equal minwise tokens, 4.4 standard deviations below the threshold
 
+RESULTS = ("n_shingles", "component_id", "kept")
 _RANDOM = np.random.default_rng(20011)
 _A = _RANDOM.integers(1, 1 << 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, TOKENS, dtype=np.uint64)
@@ -183,8 +187,9 @@ def _token(tokens: Column, number: int) -> Column:
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with at least two classes, with ``size``."""
-    sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
+    """Rows of nodes with at least two classes; ``parts`` says how many times as large as a small node theirs is."""
+    parts = F.greatest(F.ceil(F.count("*") / LEAF), F.ceil(F.sum("n") / LEAF_SHINGLES)).cast("int")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("size"), parts.alias("parts")).filter("size > 1").drop("size")
     return rows.join(sizes, "node")
 
 
@@ -194,16 +199,17 @@ def _children(rows: DataFrame) -> DataFrame:
     both = rows.withColumn("j", F.explode(F.array(F.lit(0), F.lit(1))))
     both = both.withColumn("choice", F.pmod(F.xxhash64("node", "j"), F.lit(TOKENS)).cast("int"))
     token = F.expr("substring(tokens, 4 * choice + 1, 4)")
-    return both.withColumn("node", F.xxhash64("node", "j", token)).drop("j", "choice", "size")
+    return both.withColumn("node", F.xxhash64("node", "j", token)).drop("j", "choice", "parts")
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Nodes that no depth made small, as pairs of blocks that are nodes themselves."""
-    n = F.ceil(F.col("size") / (LEAF // 2)).cast("int")
-    own = rows.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("c"), F.col("n")).cast("int"))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    """Large nodes as pairs of blocks that are nodes themselves; ``side`` tells the two blocks of a pair apart."""
+    number = F.lit(2) * F.col("parts")
+    own = rows.withColumn("own", F.pmod(F.xxhash64("c"), number).cast("int"))
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), number - 1)))
     pair = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-    return other.withColumn("node", pair).drop("n", "own", "other", "size")
+    side = F.when(F.col("own") == F.col("other"), ALL).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return other.withColumns({"node": pair, "side": side}).drop("own", "other")
 
 
 # --- 3. nodes ---------------------------------------------------------------------------------------------------
@@ -211,13 +217,15 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def similar_members(node: int, columns: list[list]) -> list[tuple]:
     """(node, c) of the members that have a partner above the bar which no earlier node has compared with them."""
-    hashes, tokens, trees, leaves = columns
+    hashes, tokens, trees, leaves, sides = columns
     own = np.frombuffer(b"".join(tokens), "<u4").reshape(-1, TOKENS)
-    mask = np.asarray(leaves, np.int64)
+    mask, side = np.asarray(leaves, np.int64), np.asarray(sides, np.int8)
     members: set[int] = set()
     for i in range(len(own) - 1):
         rest = own[i + 1 :]
-        alike = np.flatnonzero((rest == own[i]).mean(axis=1) >= BAR)
+        alike = np.flatnonzero((rest == own[i]).sum(axis=1) >= BAR * TOKENS)
+        if side[i] != ALL:  # what lies on one side meets in a node of its own
+            alike = alike[side[i + 1 :][alike] != side[i]]
         if len(alike):
             tree = trees[i]  # in a deeper node, TREES: all trees come before it
             shared = (rest[alike, :tree] == own[i, :tree]) & ((mask[i] & mask[i + 1 :][alike])[:, None] >> np.arange(tree) & 1).astype(bool)
@@ -270,9 +278,11 @@ def node_links(node: int, columns: list[list]) -> list[tuple]:
 
 def _partners(rows: DataFrame) -> DataFrame:
     """``node`` and ``c`` of the classes that full sets are needed for."""
-    run = _grouped("node", ["c", "tokens", "tree", "leaves"], similar_members, ["node", "c"], [pa.int64(), pa.binary()])
-    shaped = rows.select("node", "c", "tokens", "tree", "leaves")
-    return shaped.repartition("node").sortWithinPartitions("node").mapInArrow(run, "node long, c binary")
+    columns = ["c", "tokens", "tree", "leaves", "side"]
+    run = _grouped("node", columns, similar_members, ["node", "c"], [pa.int64(), pa.binary()])
+    small = rows.filter("parts = 1").withColumn("side", F.lit(ALL)).select("node", *columns)
+    wide = _blocks(rows.filter("parts > 1")).select("node", *columns)
+    return small.union(wide).repartition("node").sortWithinPartitions("node").mapInArrow(run, "node long, c binary")
 
 
 # --- 4. join ----------------------------------------------------------------------------------------------------
@@ -281,31 +291,31 @@ def _partners(rows: DataFrame) -> DataFrame:
 def similar_classes(docs: DataFrame, sets: DataFrame, text_col: str) -> DataFrame:
     """Links (``u``, ``v``) between classes, enough of them to connect all that are similar."""
     classes = written(
-        sets.filter("c IS NOT NULL").groupBy("c").agg(F.min(F.struct("ka", "kb")).alias("key"), F.first("tokens").alias("tokens")), "classes"
+        sets.filter("c IS NOT NULL").groupBy("c").agg(F.min(F.struct("ka", "kb")).alias("key"), F.max("n").alias("n"), F.first("tokens").alias("tokens")),
+        "classes",
     )
     first = F.array(*(F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), _token(F.col("tokens"), t)).alias("node")) for t in range(TREES)))
-    nodes = written(_sized(classes.select("c", F.explode(first).alias("f")).select("c", "f.tree", "f.node")), "nodes")
-    # Per class: the nodes it shares with others, and in which trees these are small enough to be compared.
+    nodes = written(_sized(classes.select("c", "n", F.explode(first).alias("f")).select("c", "n", "f.tree", "f.node")), "nodes")
+    # Per class: the nodes it shares with others, and in which trees these are compared rather than branched.
     per_class = nodes.groupBy("c").agg(
-        F.collect_list(F.struct("tree", "node", "size")).alias("own"),
-        F.sum(F.when(F.col("size") <= LEAF, F.pow(F.lit(2), F.col("tree")).cast("long")).otherwise(0)).alias("leaves"),
+        F.collect_list(F.struct("tree", "node", "parts")).alias("own"),
+        F.sum(F.when(F.col("parts") <= WIDE, F.pow(F.lit(2), F.col("tree")).cast("long")).otherwise(0)).alias("leaves"),
     )
     rows = (
-        per_class.join(classes.select("c", "tokens"), "c")
-        .select("c", "tokens", "leaves", F.explode("own").alias("o"))
-        .select("c", "tokens", "leaves", "o.tree", "o.node", "o.size")
+        per_class.join(classes.select("c", "n", "tokens"), "c")
+        .select("c", "n", "tokens", "leaves", F.explode("own").alias("o"))
+        .select("c", "n", "tokens", "leaves", "o.tree", "o.node", "o.parts")
     )
-    partners = [_partners(rows.filter(F.col("size") <= LEAF))]
-    if not nodes.filter(F.col("size") > LEAF).isEmpty():
-        large = rows.filter(F.col("size") > LEAF).withColumn("tree", F.lit(TREES))
+    partners = [_partners(rows.filter(F.col("parts") <= WIDE))]
+    if not nodes.filter(F.col("parts") > WIDE).isEmpty():
+        large = rows.filter(F.col("parts") > WIDE).withColumn("tree", F.lit(TREES))
         for depth in range(DEPTH):
             level = written(_sized(_children(large)), "level")
-            partners.append(_partners(level.filter(F.col("size") <= LEAF)))
-            large = level.filter(F.col("size") > LEAF)
+            most = WIDE if depth < DEPTH - 1 else None
+            partners.append(_partners(level if most is None else level.filter(F.col("parts") <= most)))
+            large = level.filter(F.col("parts") > WIDE)
             if large.isEmpty():
                 break
-            if depth == DEPTH - 1:
-                partners.append(_partners(_blocks(large)))
     wanted = partners[0]
     for more in partners[1:]:
         wanted = wanted.union(more)
@@ -338,14 +348,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` and ``kept``."""
-    docs = drop_names(docs, "n_shingles", "component_id", "kept")
-    marks = near_duplicates(docs, id_col, text_col).distinct()
-    key = free_name(docs.columns, "key")
+    docs = drop_names(docs, *RESULTS)
+    key, m_id, m_a, m_b = (free_name(docs.columns, n) for n in ("key", "m_id", "m_a", "m_b"))
+    marks = near_duplicates(docs, id_col, text_col).distinct().toDF(m_id, m_a, m_b, *RESULTS)
     joined = docs.withColumn(key, text_key(text_col)).join(
-        marks.withColumnRenamed("id", "m_id"),
-        F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("m_id")) & (F.col(f"{key}.a") == F.col("ka")) & (F.col(f"{key}.b") == F.col("kb")),
+        marks,
+        F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(m_id)) & (F.col(f"{key}.a") == F.col(m_a)) & (F.col(f"{key}.b") == F.col(m_b)),
     )
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), "n_shingles", "component_id", "kept")
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), *RESULTS)
 
 
 def q_near_duplicates(spark, sf_dir):
