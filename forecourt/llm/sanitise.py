@@ -8,8 +8,8 @@ holding a term and n(e, t) holding the term within a few words of the entity, th
 
 reached when the term never occurs without the entity. Their ratio is the term's disclosure. Terms of at least
 ``threshold`` are generalised to their first letters if those stay below it for every entity, and removed if not. A
-term counts only if it stands beside the entity in at least ``support`` different surroundings, so that copies
-of one passage prove nothing; and it is then treated wherever it occurs, also in documents without the entity.
+term counts only if it stands beside the entity in at least ``support`` documents with different surroundings, so that
+copies of one passage prove nothing; and it is then treated wherever it occurs, also in documents without the entity.
 
 All counts cover all documents. What is shuffled to count are terms already combined per task; a hot entity or term is
 one row per task. Terms found are looked for through a bitmap of fixed size before anything of a document is
@@ -21,6 +21,8 @@ often as they occur and are all treated alike; other columns pass through, those
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,38 +109,43 @@ def term_disclosure(docs: DataFrame, text_col: str = "text", threshold: float =
 
     spans = F.concat(*map(of_kind, BASE))
     beside = entities.select(
+        F.xxhash64("text").alias("doc"),
         F.transform(
             spans,
             lambda s: F.struct(F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"), _surroundings(F.col("text"), s).alias("around")),
         ).alias("beside"),
     )
+
+    def terms_beside(key: Callable[[Column, Column], list[Column]]) -> Column:
+        # Keys are strings, which Spark tells apart by hashing; an entity holds no line feed.
+        own = F.transform("beside", lambda x: F.transform(_with_stems(_words(x["around"])), lambda t: F.concat_ws("\n", *key(x, t))))
+        return F.explode(F.array_distinct(F.flatten(own))).alias("p")
+
+    def part(i: int, name: str) -> Column:
+        return F.split("p", "\n")[i].alias(name)
+
     holding = beside.select(F.explode(F.array_distinct(F.col("beside.entity"))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    # A document counts once for an entity and a term; its surroundings are told apart by their hash.
-    pairs = beside.select(
-        F.explode(
-            F.array_distinct(
-                F.flatten(
-                    F.transform(
-                        "beside",
-                        lambda x: F.transform(
-                            _with_stems(_words(x["around"])),
-                            lambda t: F.struct(x["entity"].alias("entity"), t.alias("term"), F.xxhash64(x["around"]).alias("around")),
-                        ),
-                    )
-                )
-            )
-        ).alias("p")
-    ).select("p.*")
-    seen = pairs.groupBy("entity", "term", "around").agg(F.count("*").alias("n"))
-    joint = seen.groupBy("entity", "term").agg(F.sum("n").alias("n_joint"), F.count("*").alias("around")).filter(F.col("around") >= support)
+    pairs = beside.select(terms_beside(lambda x, t: [x["entity"], t])).select(part(0, "entity"), part(1, "term"))
+    counted = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_joint"))
+    # One place per document: neither copies of a passage nor a document that repeats itself prove anything.
+    placed = beside.select("doc", terms_beside(lambda x, t: [x["entity"], t, F.md5(F.lower(x["around"]))]))
+    places = (
+        placed.select("doc", part(0, "entity"), part(1, "term"), part(2, "around"))
+        .groupBy("entity", "term", "doc")
+        .agg(F.min("around").alias("around"))
+        .groupBy("entity", "term")
+        .agg(F.count_distinct("around").alias("places"))
+        .filter(F.col("places") >= support)
+    )
+    joint = counted.join(places, ["entity", "term"])
 
     having = (
         texts.select(F.explode(_with_stems(_words(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     )
     n = F.lit(float(texts.count()))
     n_e, n_t, n_et = (F.col(c).cast("double") for c in ("n_entity", "n_term", "n_joint"))
-    # An entity may stand twice in a document, with a term beside it in two surroundings.
-    n_et = F.least(n_et, n_e, n_t)
+    # A term cut at the edge of its surroundings is none, yet two texts can differ in what a word is there.
+    n_et = F.least(n_et, n_t)
     disclosure = F.when(n_e >= n, F.lit(0.0)).otherwise(F.log(n * n_et / (n_e * n_t)) / F.log(n / n_e))
     scored = (
         joint.join(holding, "entity")
@@ -169,15 +176,15 @@ def find_terms(docs: DataFrame, terms: DataFrame, text_col: str = "text", out_co
     keyed = docs.select(text_key(text_col).alias("key"), text_or_empty(text_col).alias("text"))
 
     candidates = keyed.select("key", F.explode(F.filter(F.array_distinct(_words(F.col("text"))), lambda w: in_bitmap(bitmap, F.xxhash64(w)))).alias("term"))
+    key, t_key, t_terms = (free_name(docs.columns, n) for n in ("key", "t_key", "t_terms"))
     per_text = (
         candidates.distinct()
         .join(terms.select("term", "general"), "term")
-        .groupBy(F.col("key").alias("t_key"))
-        .agg(F.collect_list(F.struct("term", "general")).alias("t_terms"))
+        .groupBy(F.col("key").alias(t_key))
+        .agg(F.collect_list(F.struct("term", "general")).alias(t_terms))
     )
-    key = free_name(docs.columns, "key")
-    joined = docs.withColumn(key, text_key(text_col)).join(per_text, F.col(key) == F.col("t_key"), "left")
-    names = F.col("t_terms.term")
+    joined = docs.withColumn(key, text_key(text_col)).join(per_text, F.col(key) == F.col(t_key), "left")
+    names = F.col(f"{t_terms}.term")
 
     def spans(text: Column) -> Column:
         values = F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
@@ -187,14 +194,14 @@ def find_terms(docs: DataFrame, terms: DataFrame, text_col: str = "text", out_co
         )
         return folded(items, lambda v: F.array_contains(names, F.lower(v)))
 
-    general = F.map_from_entries("t_terms")
+    general = F.map_from_entries(t_terms)
     found = F.transform(
         spans(text_or_empty(text_col)),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.element_at(general, F.lower(s["value"])).alias("general")),
     )
     return joined.select(
         *(F.col(f"`{c}`") for c in docs.columns),
-        F.when(F.col("t_terms").isNotNull(), found).otherwise(F.array()).cast(shape).alias(out_col),
+        F.when(F.col(t_terms).isNotNull(), found).otherwise(F.array()).cast(shape).alias(out_col),
     )
 
 
