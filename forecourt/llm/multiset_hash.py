@@ -159,8 +159,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         "a", "b", "half", F.coalesce("next", "following").alias("next")
     )
 
-    nth = F.row_number().over(Window.partitionBy("a", "b").orderBy("a", "b"))
-    givers = texts.withColumn("nth", nth).filter("nth = 1").drop("nth")
+    # A lag rather than a rank: Spark would limit ranks before the shuffle, and the one shuffle of texts that
+    # givers and takers share would become two.
+    before = F.lag(F.lit(True)).over(Window.partitionBy("a", "b").orderBy("a", "b"))
+    givers = texts.withColumn("before", before).filter("before IS NULL").drop("before")
     takers = links.select(F.col("a").alias("to_a"), F.col("b").alias("to_b"), "half", F.col("next.a").alias("a"), F.col("next.b").alias("b"))
     gifts = givers.join(takers, ["a", "b"]).select(
         F.col("to_a").alias("a"),
