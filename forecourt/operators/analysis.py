@@ -46,22 +46,33 @@ def _between(column: str, start: dt.date, end: dt.date) -> Column:
     return (F.col(column) >= F.lit(start)) & (F.col(column) < F.lit(end))
 
 
-def _previous_month(contracts: DataFrame, as_of: dt.date) -> DataFrame:
-    return contracts.filter(
-        _between("contract_date", months_before(as_of, 1), months_before(as_of, 0))
-    )
+def _contracts(tables: Tables, start: dt.date, end: dt.date) -> DataFrame:
+    """Contracts of a period; tables that know a shorter way to them are asked for it."""
+    shorter = getattr(tables, "contracts_between", None)
+    if shorter is not None:
+        return shorter(start, end)
+    return tables["sl_contracts"].filter(_between("contract_date", start, end))
+
+
+def _previous_month(tables: Tables, as_of: dt.date) -> DataFrame:
+    return _contracts(tables, months_before(as_of, 1), months_before(as_of, 0))
 
 
 def top_store_prev_month(tables: Tables, as_of: dt.date) -> DataFrame:
-    """The store with the highest gross profit in the month before ``as_of``."""
+    """The store with the highest gross profit in the month before ``as_of``.
+
+    Contracts without a store compete for nobody; a store that the master lacks wins without a name.
+    """
     best = (
-        _previous_month(tables["sl_contracts"], as_of)
+        _previous_month(tables, as_of)
+        .filter("store_id IS NOT NULL")
         .groupBy("store_id")
         .agg(_sum("gross_profit"))
         .orderBy(F.desc("gross_profit"), "store_id")
         .limit(1)
     )
-    return F.broadcast(best).join(tables["sl_stores"].select("store_id", "store_name"), "store_id")
+    named = tables["sl_stores"].select("store_id", "store_name")
+    return best.join(named, "store_id", "left").select("store_id", "gross_profit", "store_name")
 
 
 def _ranked(df: DataFrame, value: str, in_one_task: bool) -> DataFrame:
@@ -75,22 +86,27 @@ def _ranked(df: DataFrame, value: str, in_one_task: bool) -> DataFrame:
     )
 
 
-def store_ranking(tables: Tables, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def store_ranking(
+    tables: Tables, broadcast_bytes: int = BROADCAST_BYTES, window_rows: int = 1_000_000
+) -> DataFrame:
     """Stores by gross profit within each month, next to the rank of their area.
 
     ``store_rank`` leaves gaps after ties; ``area_rank``, by the area's total of
     the month, does not. Contracts without date or profit are not ranked. A
-    month's window holds one row per store, which one task can sort if the
-    stores fit a broadcast; otherwise the months are ranked in pieces.
+    month's window holds one row per store that has contracts, known to the
+    master or not; if no month has more than ``window_rows``, one task can sort
+    it, otherwise the months are ranked in pieces.
     """
     stores = tables["sl_stores"].select("store_id", "prefecture")
-    few = fits_broadcast(stores, broadcast_bytes)
+    near = fits_broadcast(stores, broadcast_bytes)
     monthly = (
         tables["sl_contracts"]
         .groupBy(month_of("contract_date").alias("month"), "store_id")
         .agg(_sum("gross_profit"))
-        .join(F.broadcast(stores) if few else stores, "store_id", "left")
+        .join(F.broadcast(stores) if near else stores, "store_id", "left")
     )
+    largest = monthly.groupBy("month").count().agg(F.max("count")).first()[0] or 0
+    few = largest <= window_rows
     areas = monthly.groupBy("month", F.col("prefecture").alias("area")).agg(
         F.round(F.sum("gross_profit"), _CENTS).alias("area_profit")
     )
@@ -150,12 +166,17 @@ def top3_segment(
     return counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
+def _month_before(value: str, group: str, month: str = "month") -> Column:
+    """``value`` of the calendar month before, NULL if that month has no row; months must not be NULL."""
+    by_month = Window.partitionBy(group).orderBy(month)
+    follows = F.lag(month).over(by_month) == F.add_months(month, -1)
+    return F.when(follows, F.lag(value).over(by_month))
+
+
 def falling_index_sales(tables: Tables) -> DataFrame:
-    """Sales of each category in the months when its market index fell."""
-    by_month = Window.partitionBy("category").orderBy("month")
-    index = gold.monthly_index(tables["sl_market_index"]).withColumn(
-        "index_change", F.col("market_index") - F.lag("market_index").over(by_month)
-    )
+    """Sales of each category in the months when its market index fell from the calendar month before."""
+    index = gold.monthly_index(tables["sl_market_index"]).filter("month IS NOT NULL")
+    index = index.withColumn("index_change", F.col("market_index") - _month_before("market_index", "category"))
     sales = gold.sales_by_vehicle_attribute(
         tables["sl_contracts"],
         tables["sl_vehicles"],
@@ -244,7 +265,14 @@ def turnover_days(
             F.avg(F.datediff(F.lit(as_of), "stocked_date")).alias("avg_days_in_stock"),
         )
     )
-    return sold.join(open_stock, "body_type", "full")
+    open_stock = open_stock.withColumnRenamed("body_type", "stock_type")
+    return sold.join(open_stock, F.col("body_type").eqNullSafe(F.col("stock_type")), "full").select(
+        F.coalesce("body_type", "stock_type").alias("body_type"),
+        "units_sold",
+        "avg_days_to_sale",
+        "units_in_stock",
+        "avg_days_in_stock",
+    )
 
 
 def aged_stock(
@@ -288,14 +316,25 @@ def funnel(tables: Tables) -> DataFrame:
 def store_decline(tables: Tables, drop: float = 0.3, months: int = 3) -> DataFrame:
     """Store months whose gross profit fell by at least ``drop`` against the mean of the months before.
 
-    The comparison takes the ``months`` rows before, all of which must exist and
-    have a positive mean.
+    Every store has a row for each calendar month from its first contract to the last month of the data, with 0
+    where it sold nothing, so a store that stops selling is reported. The comparison takes the ``months`` months
+    before, which must lie after the store's first one and have a positive mean. Contracts without store or date
+    belong to no store month.
     """
-    before = Window.partitionBy("store_id").orderBy("month").rowsBetween(-months, -1)
-    return (
+    monthly = (
         tables["sl_contracts"]
+        .filter("store_id IS NOT NULL AND contract_date IS NOT NULL")
         .groupBy("store_id", month_of("contract_date").alias("month"))
         .agg(_sum("gross_profit"))
+    )
+    last = monthly.agg(F.max("month")).scalar()
+    calendar = monthly.groupBy("store_id").agg(F.min("month").alias("first")).select(
+        "store_id", F.explode(F.sequence("first", last, F.expr("INTERVAL 1 MONTH"))).alias("month")
+    )
+    before = Window.partitionBy("store_id").orderBy("month").rowsBetween(-months, -1)
+    return (
+        calendar.join(monthly, ["store_id", "month"], "left")
+        .na.fill(0.0, ["gross_profit"])
         .withColumn("earlier_mean", F.avg("gross_profit").over(before))
         .withColumn("earlier_months", F.count("gross_profit").over(before))
         .filter((F.col("earlier_months") == months) & (F.col("earlier_mean") > 0))
@@ -312,7 +351,10 @@ def correlation(x: str, y: str) -> Column:
 
 
 def store_corr(tables: Tables) -> DataFrame:
-    """Correlation of store sales with inquiries won, value of stock and its customers' budgets."""
+    """Correlation of store sales with inquiries won, value of stock and its customers' budgets.
+
+    Every store of the master counts, with 0 for what it does not have.
+    """
     sales = tables["sl_contracts"].groupBy("store_id").agg(_sum("actual_price"))
     won = (
         tables["sl_inquiries"]
@@ -327,7 +369,10 @@ def store_corr(tables: Tables) -> DataFrame:
         .groupBy(F.col("registered_store_id").alias("store_id"))
         .agg(F.sum("budget").alias("budgets"))
     )
-    per_store = sales.join(won, "store_id").join(stock, "store_id").join(budgets, "store_id")
+    per_store = tables["sl_stores"].select("store_id")
+    for figures in (sales, won, stock, budgets):
+        per_store = per_store.join(figures, "store_id", "left")
+    per_store = per_store.na.fill(0.0, ["actual_price", "won", "stock_value", "budgets"])
     return per_store.agg(
         _count().alias("stores"),
         *(
@@ -340,7 +385,7 @@ def store_corr(tables: Tables) -> DataFrame:
 def heatmap(tables: Tables, as_of: dt.date, months: int = 12) -> DataFrame:
     """Units and margin rate by store, one column pair for each of the last ``months`` months."""
     first = [months_before(as_of, n) for n in range(months, -1, -1)]
-    wanted = tables["sl_contracts"].filter(_between("contract_date", first[0], first[-1]))
+    wanted = _contracts(tables, first[0], first[-1])
     cells = []
     for month in first[:-1]:
         label = f"{month:%Y_%m}"
@@ -360,13 +405,14 @@ def composition(tables: Tables) -> DataFrame:
     by_category = gold.sales_by_vehicle_attribute(
         tables["sl_contracts"], tables["sl_vehicles"], "body_type"
     )
-    total = Window.partitionBy()  # over one row per category
+    # The totals are single values, so no task has to hold all categories.
+    units, sales = (by_category.agg(F.sum(c)).scalar() for c in ("units", "sales"))
     return by_category.select(
         "body_type",
         "units",
         F.round("sales", _CENTS).alias("sales"),
-        (F.col("units") / F.sum("units").over(total)).alias("unit_share"),
-        (F.col("sales") / F.sum("sales").over(total)).alias("sales_share"),
+        (F.col("units") / units).alias("unit_share"),
+        (F.col("sales") / sales).alias("sales_share"),
     )
 
 
@@ -403,11 +449,14 @@ def ltv(tables: Tables, as_of: dt.date) -> DataFrame:
 
 
 def dormant(tables: Tables, as_of: dt.date, months: int = 12) -> DataFrame:
-    """Customers without contact for more than ``months`` whole months."""
+    """Customers without contact for more than ``months`` whole months, or without any contact at all.
+
+    Contact is an inquiry or a contract.
+    """
     segments = gold.rm_segment(
         tables["sl_customers"], tables["sl_inquiries"], tables["sl_contracts"], as_of
     )
-    return segments.filter(F.col("months_since") > months).select(
+    return segments.filter(F.col("months_since").isNull() | (F.col("months_since") > months)).select(
         "customer_id", "months_since", "rm_segment", F.round("total_value", _CENTS).alias("total_value")
     )
 
@@ -417,7 +466,8 @@ def vip_churn(tables: Tables, as_of: dt.date, months: int = 6) -> DataFrame:
     segments = gold.rm_segment(
         tables["sl_customers"], tables["sl_inquiries"], tables["sl_contracts"], as_of
     )
-    lost = (F.col("value_band") == gold.VALUE_BEYOND) & (F.col("months_since") >= months)
+    away = F.col("months_since").isNull() | (F.col("months_since") >= months)
+    lost = (F.col("value_band") == gold.VALUE_BEYOND) & away
     return segments.filter(lost).select(
         "customer_id", "months_since", "n_contracts", F.round("total_value", _CENTS).alias("total_value")
     )
@@ -431,7 +481,7 @@ def margin_drop(tables: Tables, as_of: dt.date, months: int = 3) -> DataFrame:
     volume = (u1 - u0) p0 m0, price = u1 (p1 - p0) m0, margin = u1 p1 (m1 - m0).
     """
     start, middle, end = (months_before(as_of, n) for n in (2 * months, months, 0))
-    wanted = tables["sl_contracts"].filter(_between("contract_date", start, end))
+    wanted = _contracts(tables, start, end)
     sums = gold.sales_by_vehicle_attribute(
         wanted,
         tables["sl_vehicles"],
@@ -439,17 +489,19 @@ def margin_drop(tables: Tables, as_of: dt.date, months: int = 3) -> DataFrame:
         (F.col("contract_date") >= F.lit(middle)).alias("late"),
     )
 
-    def period(late: bool) -> DataFrame:
-        n = int(late)
-        return sums.filter(F.col("late") == late).select(
-            "body_type",
-            F.col("units").alias(f"u{n}"),
-            F.col("gross_profit").alias(f"g{n}"),
-            ratio("sales", "units").alias(f"p{n}"),
-            ratio("gross_profit", "sales").alias(f"m{n}"),
+    # One row per body type, NULL included: both periods come from one aggregate without a join.
+    periods = sums.groupBy("body_type").agg(
+        *(
+            F.coalesce(F.sum(F.when(F.col("late") == late, F.col(figure))), F.lit(0)).alias(f"{short}{int(late)}")
+            for late in (False, True)
+            for figure, short in (("units", "u"), ("sales", "s"), ("gross_profit", "g"))
         )
-
-    both = period(False).join(period(True), "body_type", "full").na.fill(0)
+    )
+    both = periods.select(
+        "*",
+        *(ratio(f"s{n}", f"u{n}").alias(f"p{n}") for n in (0, 1)),
+        *(ratio(f"g{n}", f"s{n}").alias(f"m{n}") for n in (0, 1)),
+    ).na.fill(0, ["p0", "p1", "m0", "m1"])
     u0, p0, m0, u1, p1, m1 = (F.col(c) for c in ("u0", "p0", "m0", "u1", "p1", "m1"))
     return both.select(
         "body_type",
@@ -465,26 +517,30 @@ def margin_drop(tables: Tables, as_of: dt.date, months: int = 3) -> DataFrame:
 def top_model_prev_month(tables: Tables, as_of: dt.date) -> DataFrame:
     """The most contracted model in the month before ``as_of``; ties go by model name."""
     by_model = gold.sales_by_vehicle_attribute(
-        _previous_month(tables["sl_contracts"], as_of), tables["sl_vehicles"], "model"
+        _previous_month(tables, as_of), tables["sl_vehicles"], "model"
     )
     return by_model.select("model", "units").orderBy(F.desc("units"), "model").limit(1)
 
 
 def trend(tables: Tables) -> DataFrame:
-    """Monthly sales per body type with month-on-month change and three-month mean."""
+    """Monthly sales per body type with month-on-month change and three-month mean.
+
+    Both go by the calendar: the change is NULL after a month without sales, and the mean is taken over the
+    months with sales among the three. Contracts without date belong to no month.
+    """
     sales = gold.sales_by_vehicle_attribute(
         tables["sl_contracts"],
         tables["sl_vehicles"],
         "body_type",
         month_of("contract_date").alias("month"),
-    )
-    by_month = Window.partitionBy("body_type").orderBy("month")
-    before = F.lag("sales").over(by_month)
+    ).filter("month IS NOT NULL")
+    number = F.year("month") * 12 + F.month("month")
+    three = Window.partitionBy("body_type").orderBy(number).rangeBetween(-2, 0)
     return sales.select(
         "body_type",
         "month",
         "units",
         F.round("sales", _CENTS).alias("sales"),
-        (F.col("sales") / F.nullif(before, F.lit(0.0)) - 1).alias("change"),
-        F.avg("sales").over(by_month.rowsBetween(-2, 0)).alias("three_month_mean"),
+        (F.col("sales") / F.nullif(_month_before("sales", "body_type"), F.lit(0.0)) - 1).alias("change"),
+        F.avg("sales").over(three).alias("three_month_mean"),
     )

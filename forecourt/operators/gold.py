@@ -174,14 +174,17 @@ def rm_segment(
 ) -> DataFrame:
     """Customers by months since last contact and cumulative purchase value.
 
-    Contact is the latest inquiry. Both facts are reduced to one row per
-    customer before they meet the customer table.
+    Contact is the latest inquiry or contract. Both facts are reduced to one row
+    per customer before they meet the customer table.
     """
-    last = inquiries.groupBy("customer_id").agg(F.max("inquiry_date").alias("last_contact"))
+    last = inquiries.groupBy("customer_id").agg(F.max("inquiry_date").alias("last_inquiry"))
     value = contracts.groupBy("customer_id").agg(
-        F.sum("actual_price").alias("value"), F.count(F.lit(1)).alias("contracts")
+        F.sum("actual_price").alias("value"),
+        F.count(F.lit(1)).alias("contracts"),
+        F.max("contract_date").alias("last_contract"),
     )
-    months = F.floor(F.months_between(F.lit(as_of), "last_contact")).cast("int")
+    last_contact = F.greatest("last_inquiry", "last_contract")  # ignores NULL
+    months = F.floor(F.months_between(F.lit(as_of), last_contact)).cast("int")
     recency = F.when(F.col("months_since").isNull(), NEVER)
     for limit, label in RECENCY_BANDS:
         recency = recency.when(F.col("months_since") <= limit, label)
@@ -216,10 +219,10 @@ RM_SEGMENT_SQL = """rm AS (
       CASE WHEN months_since IS NULL THEN 'R0' WHEN months_since <= 6 THEN 'R1'
         WHEN months_since <= 12 THEN 'R2' WHEN months_since <= 24 THEN 'R3' ELSE 'R4' END AS recency_band,
       CASE WHEN total_value < 1500000 THEN 'M1' WHEN total_value < 2500000 THEN 'M2' ELSE 'M3' END AS value_band
-    FROM (SELECT c.customer_id, CAST(datesub('month', l.last_contact, DATE '2001-08-01') AS INT) AS months_since,
+    FROM (SELECT c.customer_id, CAST(datesub('month', greatest(l.last_contact, v.last_contract), DATE '2001-08-01') AS INT) AS months_since,
         coalesce(v.value, 0.0) AS total_value, coalesce(v.contracts, 0) AS n_contracts
       FROM sl_customers c
       LEFT JOIN (SELECT customer_id, max(inquiry_date) AS last_contact FROM sl_inquiries GROUP BY 1) l
         ON c.customer_id = l.customer_id
-      LEFT JOIN (SELECT customer_id, sum(actual_price) AS value, count(*) AS contracts
+      LEFT JOIN (SELECT customer_id, sum(actual_price) AS value, count(*) AS contracts, max(contract_date) AS last_contract
         FROM sl_contracts GROUP BY 1) v ON c.customer_id = v.customer_id)))"""

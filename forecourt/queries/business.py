@@ -20,7 +20,7 @@ _RM = with_tables("sl_customers", "sl_inquiries", "sl_contracts") + ", " + gold.
     + f"""
 SELECT b.store_id, s.store_name, b.gross_profit FROM (
   SELECT c.store_id, round(sum(c.gross_profit), 4) AS gross_profit FROM sl_contracts c
-  WHERE {_PREVIOUS} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1) b JOIN sl_stores s ON b.store_id = s.store_id""",
+  WHERE {_PREVIOUS} AND c.store_id IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1) b LEFT JOIN sl_stores s ON b.store_id = s.store_id""",
 )
 def top_store_prev_month(spark, t):
     """Best store of the previous month."""
@@ -68,8 +68,8 @@ _MARKET = with_tables("sl_contracts", "sl_vehicles", "sl_market_index") + ", " +
     + """
 SELECT i.month, i.category, round(i.market_index, 6) AS market_index,
   round(i.index_change, 6) AS index_change, s.units, round(s.sales, 4) AS sales
-FROM (SELECT *, market_index - lag(market_index) OVER (PARTITION BY category ORDER BY month) AS index_change
-  FROM idx) i JOIN sales s ON i.month = s.month AND i.category = s.category WHERE i.index_change < 0""",
+FROM (SELECT a.*, a.market_index - b.market_index AS index_change FROM idx a JOIN idx b
+    ON a.category = b.category AND b.month = a.month - INTERVAL 1 MONTH) i JOIN sales s ON i.month = s.month AND i.category = s.category WHERE i.index_change < 0""",
 )
 def falling_index_sales(spark, t):
     """Sales in months when the market index fell."""
@@ -123,7 +123,7 @@ FROM (SELECT v.body_type, count(*) AS units_sold, avg(c.contract_date - v.stocke
     FROM sl_contracts c JOIN sl_vehicles v ON c.vehicle_id = v.vehicle_id
     WHERE c.contract_date >= v.stocked_date GROUP BY 1) a
 FULL JOIN (SELECT body_type, count(*) AS units_in_stock, avg({TODAY} - stocked_date) AS avg_days_in_stock
-    FROM sl_vehicles WHERE status = '在庫中' GROUP BY 1) b ON a.body_type = b.body_type""",
+    FROM sl_vehicles WHERE status = '在庫中' GROUP BY 1) b ON a.body_type IS NOT DISTINCT FROM b.body_type""",
 )
 def turnover_days(spark, t):
     """Days to sale and days in stock, by body type."""
@@ -164,14 +164,20 @@ def funnel(spark, t):
 @query(
     "q_store_decline",
     with_tables("sl_contracts")
-    + f"""
-SELECT store_id, month, gross_profit, round(earlier_mean, 6) AS earlier_mean,
-  round(gross_profit / earlier_mean - 1, 6) AS change
-FROM (SELECT *, avg(gross_profit) OVER w AS earlier_mean, count(*) OVER w AS earlier FROM (
-    SELECT c.store_id, {_MONTH} AS month, round(sum(c.gross_profit), 4) AS gross_profit
-    FROM sl_contracts c GROUP BY 1, 2)
-  WINDOW w AS (PARTITION BY store_id ORDER BY month ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
-WHERE earlier = 3 AND earlier_mean > 0 AND gross_profit / earlier_mean - 1 <= -0.3""",
+    + f""", monthly AS (
+  SELECT c.store_id, {_MONTH} AS month, round(sum(c.gross_profit), 4) AS gross_profit FROM sl_contracts c
+  WHERE c.store_id IS NOT NULL AND c.contract_date IS NOT NULL GROUP BY 1, 2),
+calendar AS (
+  SELECT s.store_id, CAST(m.month AS DATE) AS month
+  FROM (SELECT store_id, min(month) AS first FROM monthly GROUP BY 1) s
+  JOIN (SELECT unnest(generate_series((SELECT min(month) FROM monthly), (SELECT max(month) FROM monthly),
+      INTERVAL 1 MONTH)) AS month) m ON m.month >= s.first),
+filled AS (SELECT store_id, month, coalesce(gross_profit, 0.0) AS gross_profit
+  FROM calendar LEFT JOIN monthly USING (store_id, month))
+SELECT n.store_id, n.month, n.gross_profit, round(avg(e.gross_profit), 6) AS earlier_mean,
+  round(n.gross_profit / avg(e.gross_profit) - 1, 6) AS change
+FROM filled n JOIN filled e ON e.store_id = n.store_id AND e.month < n.month AND e.month >= n.month - INTERVAL 3 MONTH
+GROUP BY 1, 2, 3 HAVING count(*) = 3 AND avg(e.gross_profit) > 0 AND n.gross_profit / avg(e.gross_profit) - 1 <= -0.3""",
 )
 def store_decline(spark, t):
     """Store months that fell well below the months before."""
@@ -180,14 +186,16 @@ def store_decline(spark, t):
 
 @query(
     "q_store_corr",
-    with_tables("sl_contracts", "sl_inquiries", "sl_vehicles", "sl_customers")
+    with_tables("sl_contracts", "sl_inquiries", "sl_vehicles", "sl_customers", "sl_stores")
     + """
-SELECT count(*) AS stores, round(corr(sales, won), 6) AS sales_vs_won,
-  round(corr(sales, stock_value), 6) AS sales_vs_stock_value, round(corr(sales, budgets), 6) AS sales_vs_budgets
-FROM (SELECT store_id, sum(actual_price) AS sales FROM sl_contracts GROUP BY 1)
-JOIN (SELECT store_id, count(*) FILTER (WHERE status = '成約') AS won FROM sl_inquiries GROUP BY 1) USING (store_id)
-JOIN (SELECT store_id, sum(listing_price) AS stock_value FROM sl_vehicles GROUP BY 1) USING (store_id)
-JOIN (SELECT registered_store_id AS store_id, sum(budget) AS budgets FROM sl_customers GROUP BY 1) USING (store_id)""",
+SELECT count(*) AS stores, round(corr(coalesce(sales, 0), coalesce(won, 0)), 6) AS sales_vs_won,
+  round(corr(coalesce(sales, 0), coalesce(stock_value, 0)), 6) AS sales_vs_stock_value,
+  round(corr(coalesce(sales, 0), coalesce(budgets, 0)), 6) AS sales_vs_budgets
+FROM sl_stores
+LEFT JOIN (SELECT store_id, sum(actual_price) AS sales FROM sl_contracts GROUP BY 1) USING (store_id)
+LEFT JOIN (SELECT store_id, count(*) FILTER (WHERE status = '成約') AS won FROM sl_inquiries GROUP BY 1) USING (store_id)
+LEFT JOIN (SELECT store_id, sum(listing_price) AS stock_value FROM sl_vehicles GROUP BY 1) USING (store_id)
+LEFT JOIN (SELECT registered_store_id AS store_id, sum(budget) AS budgets FROM sl_customers GROUP BY 1) USING (store_id)""",
 )
 def store_corr(spark, t):
     """Correlation of store-level figures."""
@@ -260,7 +268,7 @@ def ltv(spark, t):
     _RM
     + """
 SELECT customer_id, months_since, rm_segment, round(total_value, 4) AS total_value
-FROM rm WHERE months_since > 12""",
+FROM rm WHERE months_since IS NULL OR months_since > 12""",
 )
 def dormant(spark, t):
     """Customers out of contact for more than a year."""
@@ -272,7 +280,7 @@ def dormant(spark, t):
     _RM
     + """
 SELECT customer_id, months_since, n_contracts, round(total_value, 4) AS total_value
-FROM rm WHERE value_band = 'M3' AND months_since >= 6""",
+FROM rm WHERE value_band = 'M3' AND (months_since IS NULL OR months_since >= 6)""",
 )
 def vip_churn(spark, t):
     """High-value customers drifting away."""
@@ -291,7 +299,7 @@ both_periods AS (
     coalesce(a.p, 0) AS p0, coalesce(a.m, 0) AS m0, coalesce(b.u, 0) AS u1, coalesce(b.g, 0) AS g1,
     coalesce(b.p, 0) AS p1, coalesce(b.m, 0) AS m1
   FROM (SELECT * FROM period WHERE NOT late) a FULL JOIN (SELECT * FROM period WHERE late) b
-    ON a.body_type = b.body_type)
+    ON a.body_type IS NOT DISTINCT FROM b.body_type)
 SELECT body_type, u0 AS units_before, u1 AS units_after, round(g1 - g0, 2) AS profit_change,
   round((u1 - u0) * p0 * m0, 2) AS volume_effect, round(u1 * (p1 - p0) * m0, 2) AS price_effect,
   round(u1 * p1 * (m1 - m0), 2) AS margin_effect FROM both_periods""",
@@ -316,13 +324,14 @@ def top_model_prev_month(spark, t):
 @query(
     "q_trend",
     _CV
-    + f"""
-SELECT body_type, month, units, round(sales, 4) AS sales,
-  round(sales / nullif(lag(sales) OVER m, 0) - 1, 6) AS change,
-  round(avg(sales) OVER (PARTITION BY body_type ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6)
-    AS three_month_mean
-FROM (SELECT v.body_type, {_MONTH} AS month, count(*) AS units, sum(c.actual_price) AS sales
-  {_JOIN_V} GROUP BY 1, 2) WINDOW m AS (PARTITION BY body_type ORDER BY month)""",
+    + f""", sales AS (
+  SELECT v.body_type, {_MONTH} AS month, count(*) AS units, sum(c.actual_price) AS sales
+  {_JOIN_V} WHERE c.contract_date IS NOT NULL GROUP BY 1, 2)
+SELECT s.body_type, s.month, s.units, round(s.sales, 4) AS sales,
+  round(s.sales / nullif(max(b.sales) FILTER (WHERE b.month = s.month - INTERVAL 1 MONTH), 0) - 1, 6) AS change,
+  round(avg(b.sales), 6) AS three_month_mean
+FROM sales s JOIN sales b ON s.body_type IS NOT DISTINCT FROM b.body_type
+  AND b.month <= s.month AND b.month >= s.month - INTERVAL 2 MONTH GROUP BY s.body_type, s.month, s.units, s.sales""",
 )
 def trend(spark, t):
     """Monthly trend per body type."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PARQUET_TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -120,6 +121,19 @@ class LogicalTables(dict):
         super().__init__()
         self.spark, self.folder = spark, folder
 
+    def contracts_between(self, start: dt.date, end: dt.date) -> DataFrame:
+        """Contracts dated from ``start`` up to, not including, ``end``.
+
+        The date lies in another table than the amounts. Orders are filtered first and amounts of other
+        orders dropped before they are added up, so the aggregate and its shuffle hold the period only.
+        """
+        dated = self["orders"].filter(
+            (F.col("o_orderdate") >= F.lit(start)) & (F.col("o_orderdate") < F.lit(end))
+        )
+        own = F.col("l_orderkey") == F.col("o_orderkey")
+        amounts = self["lineitem"].join(dated.select("o_orderkey"), own, "left_semi")
+        return self.spark.sql(_SPARK_CONTRACTS, lineitem=amounts, orders=dated, part=self["part"])
+
     def __missing__(self, name: str) -> DataFrame:
         if name in PARQUET_TABLES:
             frame = self.spark.read.parquet(f"{self.folder}/{name}.parquet")

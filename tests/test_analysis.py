@@ -21,6 +21,14 @@ def test_top_store_prev_month(business):
     assert rows(analysis.top_store_prev_month(business, day("2000-01-01"))) == []
 
 
+def test_top_store_may_be_unknown_to_the_master_but_not_missing(spark, business):
+    contracts = spark.createDataFrame(
+        [(day("2001-07-01"), 777, 9.0), (day("2001-07-02"), 1, 5.0), (day("2001-07-03"), None, 99.0)],
+        "contract_date date, store_id long, gross_profit double",
+    )
+    assert rows(analysis.top_store_prev_month({**business, "sl_contracts": contracts}, AS_OF)) == [(777, 9.0, None)]
+
+
 def test_store_ranking_has_ties_and_unknown_stores(spark, business):
     contracts = spark.createDataFrame(
         [(i, day("2001-07-01"), s, p) for i, s, p in [(1, 1, 5.0), (2, 3, 5.0), (3, 2, 1.0), (4, None, 9.0)]],
@@ -81,6 +89,40 @@ def test_store_decline_needs_full_history(spark):
     assert [(r["month"], r["earlier_mean"]) for r in out.collect()] == [(day("2001-04-01"), 10.0)]
 
 
+def test_store_decline_reports_stores_that_stop(spark):
+    sold = [(1, f"2001-0{m}-10", 10.0) for m in range(1, 5)] + [(2, f"2001-0{m}-10", 10.0) for m in range(1, 7)]
+    contracts = spark.createDataFrame(
+        [(s, day(d), p) for s, d, p in sold] + [(None, day("2001-06-10"), 1.0), (1, None, 1.0)],
+        "store_id long, contract_date date, gross_profit double",
+    )
+    out = analysis.store_decline({"sl_contracts": contracts}).filter("gross_profit = 0")
+    assert [(r["store_id"], r["month"], r["change"]) for r in out.orderBy("month").collect()] == [
+        (1, day("2001-05-01"), -1.0),
+        (1, day("2001-06-01"), -1.0),
+    ]
+
+
+def test_correlation_counts_every_store(business):
+    assert analysis.store_corr(business).first()["stores"] == 3
+
+
+def test_change_goes_by_calendar_month(spark, business):
+    contracts = spark.createDataFrame(
+        [(day(d) if d else None, 10, p, 1.0) for d, p in [(None, 9.0), ("2001-03-01", 10.0), ("2001-05-01", 20.0), ("2001-06-01", 30.0)]],
+        "contract_date date, vehicle_id long, actual_price double, gross_profit double",
+    )
+    out = analysis.trend({**business, "sl_contracts": contracts}).orderBy("month")
+    assert [(r["month"].month, r["change"], r["three_month_mean"]) for r in out.collect()] == [
+        (3, None, 10.0), (5, None, 15.0), (6, 0.5, 25.0)
+    ]
+    index = spark.createDataFrame(
+        [(day(f"2001-0{m}-01"), "SUV", v) for m, v in [(3, 9.0), (5, 8.0), (6, 7.0)]] + [(None, "SUV", 10.0)],
+        "date date, vehicle_category string, market_index double",
+    )
+    fell = analysis.falling_index_sales({**business, "sl_contracts": contracts, "sl_market_index": index})
+    assert [(r["month"].month, r["index_change"]) for r in fell.collect()] == [(6, -1.0)]
+
+
 def test_correlation_of_a_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, 6.0, 5.0)], "a double, b double, c double")
     got = df.agg(analysis.correlation("a", "b"), analysis.correlation("a", "c")).first()
@@ -108,8 +150,9 @@ def test_scatter_sample_is_repeatable_and_about_right(spark, small):
 
 
 def test_segments(business):
-    assert rows(analysis.dormant(business, AS_OF).select("customer_id", "months_since")) == [(101, 18)]
-    assert rows(analysis.dormant(business, AS_OF, months=18).select("customer_id")) == []
+    # 101 signed contracts in June; 102 never appeared
+    assert rows(analysis.dormant(business, AS_OF).select("customer_id", "months_since")) == [(102, None)]
+    assert rows(analysis.dormant(business, AS_OF, months=0).select("customer_id")) == [(101,), (102,)]
     assert rows(analysis.vip_churn(business, AS_OF)) == []
     assert rows(analysis.ltv(business, AS_OF)) == [
         ("HOME", 1, 1, 400.0, 400.0, 200.0),
@@ -129,6 +172,15 @@ def test_margin_drop_with_a_category_in_one_period_only(business):
     assert out[None]["units_after"] == 0 and out[None]["profit_change"] == -5.0
 
 
+def test_missing_body_type_is_one_row(spark, business):
+    contracts = spark.createDataFrame(
+        [(day("2001-06-01"), None, 10.0, 1.0), (day("2001-07-01"), None, 10.0, 3.0)],
+        "contract_date date, vehicle_id long, actual_price double, gross_profit double",
+    )
+    out = analysis.margin_drop({**business, "sl_contracts": contracts}, AS_OF, months=1).collect()
+    assert [(r["body_type"], r["units_before"], r["units_after"], r["profit_change"]) for r in out] == [(None, 1, 1, 2.0)]
+
+
 def test_top_model(business):
     assert rows(analysis.top_model_prev_month(business, AS_OF)) == [("a", 1)]
 
@@ -144,3 +196,13 @@ def test_trend(business):
 def test_previous_month_is_pushed_to_the_scan(spark, small):
     text = plan(analysis.top_store_prev_month(LogicalTables(spark, small), AS_OF))
     assert "GreaterThanOrEqual(o_orderdate,2001-07-01" in text and "LessThan(o_orderdate,2001-08-01" in text
+
+
+@pytest.mark.parametrize("fn", [analysis.top_store_prev_month, analysis.top_model_prev_month, analysis.heatmap, analysis.margin_drop])
+def test_amounts_of_other_periods_are_dropped_before_they_are_added_up(spark, small, fn):
+    t = LogicalTables(spark, small)
+    out = fn(t, AS_OF)
+    text = plan(out)
+    assert text.index("LeftSemi") and "GreaterThanOrEqual(o_orderdate," in text
+    plain = {name: t[name] for name in ("sl_contracts", "sl_stores", "sl_vehicles")}
+    assert rows(out) == rows(fn(plain, AS_OF)) and not out.isEmpty()

@@ -61,7 +61,7 @@ def test_rm_segment(business):
     ).select("customer_id", "months_since", "n_contracts", "total_value", "rm_segment")
     assert rows(out) == [
         (100, 0, 2, 400.0, "R1-M1"),
-        (101, 18, 2, 50.0, "R3-M1"),
+        (101, 1, 2, 50.0, "R1-M1"),
         (102, None, 0, 0.0, "R0-M1"),
     ]
 
