@@ -53,6 +53,8 @@ def observed(df: DataFrame, rules: Rules, observation: Observation | str) -> Dat
 
 def quality_metrics(df: DataFrame, rules: Rules) -> DataFrame:
     """One row per rule: passed and failed row counts, all from a single pass."""
+    if not rules:
+        return df.sparkSession.createDataFrame([], "rule string, passed long, failed long")
     counts = df.agg(*quality_counts(rules))
     per_rule = F.array(
         *(

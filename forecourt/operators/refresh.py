@@ -1,26 +1,56 @@
-"""Incremental refresh of a monthly summary."""
+"""Incremental refresh of monthly marts."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.operators.gold import month_of, ratio
-from forecourt.sources.files import layer_path, write_layer
+from forecourt.sources.files import drop_partitions, layer_path, write_layer
 
 # So many months are passed to the scan as a list; beyond, a semi join selects them.
 LISTED_MONTHS = 1200
 
+Mart = Callable[[DataFrame], DataFrame]
+
+
+def _months(rows: DataFrame) -> set:
+    return {row[0] for row in rows.select("sales_month").distinct().collect()}
+
+
+def stored_months(
+    spark: SparkSession, base: str, batch: str, name: str = "contracts", load: str | None = None
+) -> set:
+    """The months a batch, or one load of it, has rows in; none if it was never loaded."""
+    try:
+        stored = spark.read.parquet(layer_path(base, "silver", name))
+    except AnalysisException:  # nothing has been loaded yet
+        return set()
+    own = F.col("batch") == batch
+    return _months(stored.filter(own if load is None else own & (F.col("load") == load)))
+
 
-def add_batch(contracts: DataFrame, base: str, batch: str) -> str:
-    """Store one load of contracts by month.
+def add_batch(
+    rows: DataFrame, base: str, batch: str, date: str = "contract_date", name: str = "contracts"
+) -> tuple[str, set, set]:
+    """Store one load by month; returns the load's mark, the months it has and the batch's other months.
 
-    Loading the same rows as the same batch again changes nothing.
+    The months that an earlier load of the batch had and this one lacks are left for the caller to
+    remove, after it has dealt with them: until then a repeated run finds them again.
+    Months come first in the layout, so a refresh lists the folders of its months only.
     """
-    stamped = contracts.withColumns(
-        {"batch": F.lit(batch), "sales_month": month_of("contract_date")}
+    spark, load = rows.sparkSession, uuid.uuid4().hex
+    before = stored_months(spark, base, batch, name)
+    stamped = rows.withColumns(
+        {"load": F.lit(load), "batch": F.lit(batch), "sales_month": month_of(date)}
     )
-    return write_layer(stamped, base, "silver", "contracts", ("batch", "sales_month"))
+    write_layer(stamped, base, "silver", name, ("sales_month", "batch"))
+    now = stored_months(spark, base, batch, name, load)
+    return load, now, before - now
 
 
 def monthly_summary(contracts: DataFrame) -> DataFrame:
@@ -37,26 +67,51 @@ def monthly_summary(contracts: DataFrame) -> DataFrame:
     )
 
 
-def rows_of_months(contracts: DataFrame, months: DataFrame) -> DataFrame:
-    """The contracts of the months listed in the one-column frame ``months``.
+def store_summary(contracts: DataFrame) -> DataFrame:
+    """Units, sales and gross profit by store and month."""
+    return contracts.groupBy("store_id", "sales_month").agg(
+        F.count(F.lit(1)).alias("units"),
+        F.sum("actual_price").alias("sales"),
+        F.sum("gross_profit").alias("gross_profit"),
+    )
+
+
+def rows_of_months(contracts: DataFrame, months: set) -> DataFrame:
+    """The rows of the given months.
 
     A literal list prunes the partitions of other months from the scan.
     """
-    listed = [row[0] for row in months.limit(LISTED_MONTHS + 1).collect()]
-    if len(listed) > LISTED_MONTHS:
-        wanted = months.select(F.col(months.columns[0]).alias("_month"))
+    known = [m for m in months if m is not None]
+    if len(known) > LISTED_MONTHS:
+        wanted = contracts.sparkSession.createDataFrame([(m,) for m in months], "_month date")
         return contracts.join(wanted, F.col("sales_month").eqNullSafe(F.col("_month")), "left_semi")
-    known = F.col("sales_month").isin([m for m in listed if m is not None])
-    return contracts.filter(known | F.col("sales_month").isNull() if None in listed else known)
-
-
-def refresh_incremental(spark: SparkSession, delta: DataFrame, base: str, batch: str) -> str:
-    """Add ``delta`` to the stored contracts and recompute only the months it touches."""
-    contracts = spark.read.parquet(add_batch(delta, base, batch))
-    # The months of the stored batch are its folders; the delta is not computed again.
-    touched = contracts.filter(F.col("batch") == batch).select("sales_month").distinct()
-    fresh = monthly_summary(rows_of_months(contracts, touched))
-    return write_layer(fresh, base, "view", "monthly_sales", ("sales_month",))
+    listed = F.col("sales_month").isin(known) if known else F.lit(False)
+    return contracts.filter(listed | F.col("sales_month").isNull() if None in months else listed)
+
+
+def refresh_incremental(
+    spark: SparkSession,
+    delta: DataFrame,
+    base: str,
+    batch: str,
+    mart: Mart = monthly_summary,
+    name: str = "monthly_sales",
+    date: str = "contract_date",
+) -> str:
+    """Store ``delta`` as ``batch`` and recompute only the months of ``mart`` that it touches.
+
+    ``mart`` gets rows with their ``sales_month`` and must keep that column. A
+    month that no row is left in disappears from the mart.
+    """
+    load, months, gone = add_batch(delta, base, batch, date)
+    path = layer_path(base, "silver", "contracts")
+    stale = (F.col("batch") == batch) & (F.col("load") != load)
+    rows = rows_of_months(spark.read.parquet(path).filter(~stale), months | gone).drop("load")
+    view = write_layer(mart(rows), base, "view", name, ("sales_month",))
+    empty = gone - _months(rows) if gone else set()
+    drop_partitions(spark, view, [{"sales_month": month} for month in empty])
+    drop_partitions(spark, path, [{"sales_month": month, "batch": batch} for month in gone])
+    return view
 
 
 def summary_path(base: str) -> str:

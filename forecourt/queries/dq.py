@@ -27,6 +27,17 @@ def drop(spark, t):
     return kept.select("vehicle_id", "model_year", "listing_price", "purchase_price", "vin")
 
 
+@query(
+    "dq_fail",
+    _VEHICLES
+    + "\nSELECT body_type, count(*) AS n FROM sl_vehicles WHERE listing_price > 0 GROUP BY 1",
+)
+def fail(spark, t):
+    """Vehicles by body type, provided that every one has a price; otherwise the job fails."""
+    checked = quality.expect_or_fail(t["sl_vehicles"], {"priced": "listing_price > 0"})
+    return checked.groupBy("body_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "dq_year_range",
     _VEHICLES

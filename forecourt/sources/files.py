@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +54,23 @@ def write_layer(
     writer = df.write.mode(mode).partitionBy(*partition_by)
     writer.option("partitionOverwriteMode", "dynamic" if partition_by else "static").parquet(path)
     return path
+
+
+# Fixed value: the folder name Spark gives to a NULL partition value.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def drop_partitions(
+    spark: SparkSession, path: str, partitions: Sequence[Mapping[str, object]]
+) -> None:
+    """Remove partition folders of a table, through Spark's file system; missing ones are no error.
+
+    Values must be plain in a folder name: dates, numbers, simple text.
+    """
+    if not partitions:
+        return
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for partition in partitions:
+        names = (f"{k}={_NULL_PARTITION if v is None else v}" for k, v in partition.items())
+        files.delete(hadoop("/".join((path.rstrip("/"), *names))), True)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -65,34 +65,41 @@ def refine(
     keys: Sequence[str],
     event_time: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    fail: quality.Rules | None = None,
+    max_files: int = 1_000,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """New bronze rows to silver: cast, count violations, drop violating rows, drop repeats.
+    """New bronze rows to silver: cast, drop violating rows and rows without a key, then drop repeats.
 
-    Every micro-batch replaces its own ``batch_id=`` folder of ``out`` and of
-    ``metrics_out``, so a batch that is run again after a failure is not written
-    twice. Without ``event_time`` the state keeps every key it has seen.
+    Repeats are looked for among accepted rows only, so a row that was refused
+    once is taken when it is delivered again in order. Violations are counted
+    by a stream of their own over all rows as delivered. A violation of a
+    ``fail`` rule ends the run before the batch is written.
+
+    Every micro-batch, of at most ``max_files`` files, replaces its own
+    ``batch_id=`` folder of ``out`` and of ``metrics_out``, so a batch that is
+    run again after a failure is not written twice. Without ``event_time`` the
+    state keeps every accepted key.
     """
-    stream = quality.typed(spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze), types)
-    if prepare is not None:
-        stream = prepare(stream)
-    stream = quality.dedup_stream(stream, keys, event_time)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        counts = Observation()
-        checked = quality.observed(batch, rules, counts)
-        quality.expect_or_drop(checked, rules).write.mode("overwrite").parquet(
-            f"{out}/batch_id={batch_id}"
-        )
-        seen = counts.get
-        rows = [(rule, seen["n"] - seen[f"failed_{rule}"], seen[f"failed_{rule}"]) for rule in rules]
-        batch.sparkSession.createDataFrame(rows, "rule string, passed long, failed long").coalesce(
-            1
-        ).write.mode("overwrite").parquet(f"{metrics_out}/batch_id={batch_id}")
 
-    run = (
-        stream.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    def delivered() -> DataFrame:
+        raw = spark.readStream.schema(spark.read.parquet(bronze).schema)
+        stream = quality.typed(raw.option("maxFilesPerTrigger", max_files).parquet(bronze), types)
+        return stream if prepare is None else prepare(stream)
+
+    def run(stream: DataFrame, store: Callable[[DataFrame, int], None], name: str) -> None:
+        writer = stream.writeStream.foreachBatch(store).trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{checkpoint}/{name}").start().awaitTermination()
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.mode("overwrite").partitionBy(*partition_by)
+        writer.parquet(f"{out}/batch_id={batch_id}")
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        counted = quality.quality_metrics(batch, rules).coalesce(1)
+        counted.write.mode("overwrite").parquet(f"{metrics_out}/batch_id={batch_id}")
+
+    checked = quality.expect_or_fail(delivered(), fail) if fail else delivered()
+    accepted = quality.expect_or_drop(checked, rules).dropna(subset=list(keys))
+    run(quality.dedup_stream(accepted, keys, event_time), keep, "rows")
+    run(delivered(), count, "metrics")

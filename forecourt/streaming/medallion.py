@@ -14,7 +14,7 @@ from forecourt.streaming.ingest import ingest_files, refine
 
 @dataclass(frozen=True)
 class Feed:
-    """One landed feed: its raw columns, target types, rules and key."""
+    """One landed feed: its raw columns, target types, key, rules that drop rows and rules that end the run."""
 
     name: str
     raw_schema: str
@@ -22,6 +22,7 @@ class Feed:
     keys: Sequence[str]
     rules: Rules = field(default_factory=dict)
     event_time: str | None = None
+    fail: Rules = field(default_factory=dict)
 
 
 def run_medallion(
@@ -51,6 +52,7 @@ def run_medallion(
         feed.rules,
         feed.keys,
         feed.event_time,
+        fail=feed.fail,
     )
     silver = spark.read.parquet(clean).drop("batch_id")
     paths = {"bronze": bronze, "silver": clean, "quality": metrics}
