@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from math import ceil
+from dataclasses import dataclass
+from math import ceil, log
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +41,7 @@ class _Best:
         ids, vectors = _ids(ids), _matrix(vectors).T
         for start in range(0, len(self.query_ids), _ROWS_AT_ONCE):
             block = np.round(self.queries[start : start + _ROWS_AT_ONCE] @ vectors, _DIGITS)
+            block[np.isnan(block)] = -np.inf  # no similarity at all
             if self.skip_self:
                 own = self.query_ids[start : start + _ROWS_AT_ONCE, None] == ids[None, :]
                 block[own] = -np.inf
@@ -100,8 +99,10 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _bytes(vectors: DataFrame) -> int:
-    return (vectors.agg(F.sum(F.size("vector"))).first()[0] or 0) * 8
+def _bytes(vectors: DataFrame, key: str) -> int:
+    """Bytes of vectors and keys, with what a row costs besides."""
+    size = F.size("vector") * 8 + F.octet_length(F.col(key).cast("string")) + 64
+    return vectors.agg(F.sum(size)).first()[0] or 0
 
 
 def topk_similar(
@@ -118,8 +119,8 @@ def topk_similar(
 ) -> DataFrame:
     """The ``k`` corpus vectors with the largest dot product for each query, exactly.
 
-    Result: query_id, id, similarity (rounded to six digits) and place. Each
-    task keeps ``k`` rows per query and hands on only those at its end; a last
+    Result: query_id, id, similarity (rounded to six digits) and place. A
+    vector whose similarity is not a number is not found. Each task keeps ``k`` rows per query and hands on only those at its end; a last
     window picks the final ones. Both keys must be numbers or text.
 
     Query vectors measured within ``query_bytes`` go to every task and the
@@ -135,7 +136,7 @@ def topk_similar(
     kinds = dict(q.dtypes)["query_id"], dict(c.dtypes)["id"]
     schema = f"query_id {kinds[0]}, id {kinds[1]}, similarity double"
 
-    size = _bytes(q)
+    size = _bytes(q, "query_id")
     if size <= query_bytes:
         local = q.toPandas()
         if local.empty:
@@ -152,7 +153,7 @@ def topk_similar(
 
             nearest = c.mapInPandas(search, schema)
     else:
-        nearest = _blocked(q, c, k, skip_self, ceil(size / block_bytes), ceil(_bytes(c) / block_bytes), schema)
+        nearest = _blocked(q, c, k, skip_self, ceil(size / block_bytes), ceil(_bytes(c, "id") / block_bytes), schema)
 
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
     return nearest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
@@ -165,10 +166,13 @@ def _blocked(q, c, k, skip_self, q_blocks, c_blocks, schema) -> DataFrame:
     def numbers(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
-    q_block = F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))
-    c_block = F.pmod(F.xxhash64("id"), F.lit(c_blocks))
-    q_cells = q.withColumns({"qb": q_block, "cb": numbers(c_blocks)})
-    c_cells = c.withColumns({"cb": c_block, "qb": numbers(q_blocks)})
+    # The row's place counts as well: rows that share an id, or even a vector, spread over blocks.
+    place = F.monotonically_increasing_id()
+    q_block = F.pmod(F.xxhash64("query_id", place), F.lit(q_blocks))
+    c_block = F.pmod(F.xxhash64("id", place), F.lit(c_blocks))
+    # The own block first: after the multiplication every copy would have another place.
+    q_cells = q.withColumn("qb", q_block).withColumn("cb", numbers(c_blocks))
+    c_cells = c.withColumn("cb", c_block).withColumn("qb", numbers(q_blocks))
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -189,25 +193,69 @@ def _tokens(text: str, bigrams: bool):
     return F.regexp_extract_all(lowered, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def fit_embedding(df: DataFrame, text: str, dimensions: int = 256, bigrams: bool = False) -> PipelineModel:
-    """Term weights learnt from ``df``; the driver only receives one number per dimension."""
-    tokens = df.select(_tokens(text, bigrams).alias("tokens"))
-    stages = [
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=dimensions),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="unit", p=2.0),
-    ]
-    return Pipeline(stages=stages).fit(tokens)
+@dataclass(frozen=True)
+class TermWeights:
+    """One weight per hash bucket, and how terms are cut."""
+
+    weights: tuple[float, ...]
+    bigrams: bool = False
+
+
+def hashed_terms(
+    df: DataFrame, text: str, dimensions: int = 256, bigrams: bool = False, out: str = "terms"
+) -> DataFrame:
+    """``df`` with the buckets of its terms: the first 32 bits of each term's MD5, modulo ``dimensions``."""
+
+    def bucket(term: Column) -> Column:
+        return (F.conv(F.left(F.md5(term), F.lit(8)), 16, 10).cast("long") % dimensions).cast("int")
+
+    return df.withColumn(out, F.transform(_tokens(text, bigrams), bucket))
+
+
+def fit_weights(
+    hashed: DataFrame, terms: str = "terms", dimensions: int = 256, bigrams: bool = False
+) -> TermWeights:
+    """ln((rows + 1) / (rows with the bucket + 1)); the driver only receives one count per bucket."""
+    counts = hashed.select(F.explode(F.array_distinct(terms)).alias("bucket")).groupBy("bucket").count()
+    having = dict(map(tuple, counts.collect()))
+    rows = hashed.count()
+    return TermWeights(
+        tuple(log((rows + 1) / (having.get(b, 0) + 1)) for b in range(dimensions)), bigrams
+    )
+
+
+def fit_embedding(df: DataFrame, text: str, dimensions: int = 256, bigrams: bool = False) -> TermWeights:
+    """Term weights learnt from ``df``."""
+    hashed = hashed_terms(df.select(text), text, dimensions, bigrams)
+    return fit_weights(hashed, "terms", dimensions, bigrams)
+
+
+def embed_terms(
+    hashed: DataFrame, model: TermWeights, terms: str = "terms", out: str = "embedding"
+) -> DataFrame:
+    """Unit vectors of weighted bucket counts, in place of the buckets."""
+    weights = np.asarray(model.weights)
+
+    @F.pandas_udf("array<double>")
+    def unit(buckets: pd.Series) -> pd.Series:
+        def one(own) -> list[float] | None:
+            if own is None:
+                return None
+            values = np.bincount(np.asarray(own, dtype=np.int64), minlength=len(weights)) * weights
+            length = np.sqrt((values * values).sum())
+            return values / length if length else values
+
+        return buckets.map(one, na_action=None)
+
+    return hashed.withColumn(out, unit(F.col(terms))).drop(terms)
 
 
 def embed_hash(
-    df: DataFrame, model: PipelineModel, text: str, bigrams: bool = False, out: str = "embedding"
+    df: DataFrame, model: TermWeights, text: str, bigrams: bool = False, out: str = "embedding"
 ) -> DataFrame:
     """Unit vectors of hashed term weights, a repeatable stand-in for a learnt embedding."""
-    embedded = model.transform(df.withColumn("tokens", _tokens(text, bigrams)))
-    return embedded.withColumn(out, vector_to_array("unit", "float32")).drop(
-        "tokens", "tf", "tfidf", "unit"
-    )
+    hashed = hashed_terms(df, text, len(model.weights), bigrams or model.bigrams, "_terms")
+    return embed_terms(hashed, model, "_terms", out)
 
 
 def join_hits_to_metrics(hits: DataFrame, metrics: DataFrame, key: str) -> DataFrame:
@@ -216,8 +264,12 @@ def join_hits_to_metrics(hits: DataFrame, metrics: DataFrame, key: str) -> DataF
 
 
 def nearest(df: DataFrame, key: str, probe: object, column: str, k: int) -> DataFrame:
-    """The ``k`` rows whose ``column`` is nearest to that of the row with key ``probe``."""
-    target = df.filter(F.col(key) == F.lit(probe)).select(F.col(column).alias("_target")).limit(1)
+    """The ``k`` rows whose ``column`` is nearest to that of the row with key ``probe``.
+
+    Nothing is near an unknown probe or one without a value; a probe key that occurs twice fails the job.
+    """
+    target = df.filter(F.col(key) == F.lit(probe)).select(F.col(column).alias("_target"))
     distance = F.abs(F.col(column) - target.scalar())
     others = df.filter((F.col(key) != F.lit(probe)) & F.col(column).isNotNull())
-    return others.withColumn("distance", distance).orderBy("distance", key).limit(k)
+    near = others.withColumn("distance", distance).filter("distance IS NOT NULL")
+    return near.orderBy("distance", key).limit(k)

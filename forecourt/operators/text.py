@@ -29,9 +29,11 @@ def elements(html: str | Column) -> Column:
 
     An element reaches from its opening tag to the next block-level tag, so
     missing closing tags do no harm. Other tags are removed, common entities
-    decoded, white space collapsed; empty elements are left out.
+    decoded, white space collapsed; empty elements are left out. Characters that
+    serve as marks here are removed from the page first.
     """
-    text = F.regexp_replace(html, _HIDDEN, " ")
+    text = F.translate(html, _START + _KIND, "")
+    text = F.regexp_replace(text, _HIDDEN, " ")
     text = F.regexp_replace(text, _ELEMENT, f"{_START}$1{_KIND}")
     text = F.regexp_replace(text, _BLOCK, _START)
     text = F.regexp_replace(text, r"<[^>]*>", "")

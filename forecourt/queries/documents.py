@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from forecourt.operators import retrieval, silver, text
 from forecourt.queries.registry import query, rounded
+from forecourt.session import working_folder
 from forecourt.sources.bindings import with_tables
 
 _ELEMENTS_SQL = r"""pieces AS (
   SELECT page_id, list_filter(string_split(
     replace(replace(replace(replace(replace(replace(
-      regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+      regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(html, chr(30) || chr(31), ''),
         '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'),
         '(?i)<(title|h[1-6]|p)(?:\s[^>]*)?>', chr(30) || '\1' || chr(31), 'g'),
         '(?i)</?(?:title|h[1-6]|p|html|head|body|main|article|section|div|nav|aside|header|footer|ul|ol|li|table|tr|td|th|form|blockquote|pre)(?:\s[^>]*)?>', chr(30), 'g'),
@@ -156,14 +157,16 @@ def note_profile(spark, t):
     + ", "
     + _PROFILE_SQL
     + """
-SELECT c.customer_id, c.name, c.registered_store_id, coalesce(c.area, p.opening) AS area, c.segment, c.budget,
+SELECT c.customer_id, c.name, c.registered_store_id,
+  coalesce(CASE WHEN c.customer_id % 3 <> 0 THEN c.area END, p.opening) AS area, c.segment, c.budget,
   c.phone, p.relation, p.last_word
 FROM sl_customers c LEFT JOIN profile p ON c.customer_id = p.note_id""",
 )
 def customers_enriched(spark, t):
-    """Customers with what the notes say; master values win."""
+    """Customers with what the notes say; master values win, and every third customer has no area there."""
     profile = _profile(t).withColumnsRenamed({"note_id": "customer_id", "opening": "area"})
-    return silver.enrich_customers(t["sl_customers"], profile, "customer_id")
+    gaps = F.when(F.col("customer_id") % 3 != 0, F.col("area"))
+    return silver.enrich_customers(t["sl_customers"].withColumn("area", gaps), profile, "customer_id")
 
 
 _TOPK_SQL = """hits AS (
@@ -217,18 +220,50 @@ def hits_with_metrics(spark, t):
     return rounded(retrieval.join_hits_to_metrics(_hits(t), metrics, "vehicle_id"), {"sales": 4})
 
 
-@query("chunk_topk")
+_EMBED_SQL = """buckets AS (
+  SELECT key, unnest(list_transform(regexp_extract_all(lower(body), '[\\p{L}\\p{N}]+'),
+    lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 256)) AS bucket FROM texts),
+weights AS (SELECT bucket, ln((n + 1) / (df + 1)) AS weight FROM (
+  SELECT bucket, count(DISTINCT key) AS df FROM buckets WHERE starts_with(key, 'c') GROUP BY 1),
+  (SELECT count(*) AS n FROM texts WHERE starts_with(key, 'c'))),
+terms AS (SELECT key, bucket, count(*) * coalesce(any_value(weight), (SELECT ln(count(*) + 1) FROM texts WHERE starts_with(key, 'c'))) AS value
+  FROM buckets LEFT JOIN weights USING (bucket) GROUP BY 1, 2),
+units AS (SELECT key, bucket, value / sqrt(sum(value * value) OVER (PARTITION BY key)) AS value FROM terms)"""
+
+
+@query(
+    "chunk_topk",
+    """
+WITH chunks AS (
+  SELECT doc_id || '-' || i AS chunk_id, substring(text, CAST(i * 400 + 1 AS INT), 500) AS body
+  FROM documents, unnest(range(0, CAST(floor((greatest(length(text) - 100, 1) - 1) / 400) AS BIGINT) + 1)) AS r(i)
+  WHERE length(text) > 0),
+texts AS (SELECT 'c' || chunk_id AS key, body FROM chunks UNION ALL SELECT 'b' || item_id, text FROM benchmark),
+"""
+    + _EMBED_SQL
+    + """
+SELECT query_id, id, similarity, CAST(place AS INT) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS place FROM (
+    SELECT b.item_id AS query_id, c.chunk_id AS id, round(coalesce(similarity, 0.0), 6) AS similarity
+    FROM benchmark b CROSS JOIN chunks c LEFT JOIN (
+      SELECT q.key AS query_key, u.key AS chunk_key, sum(q.value * u.value) AS similarity
+      FROM units q JOIN units u USING (bucket) WHERE starts_with(q.key, 'b') AND starts_with(u.key, 'c') GROUP BY 1, 2)
+    ON query_key = 'b' || b.item_id AND chunk_key = 'c' || c.chunk_id))
+WHERE place <= 3""",
+)
 def chunk_topk(spark, t):
     """The three chunks nearest to each benchmark text, by hashed term weights.
 
-    Spark's term hash has no counterpart in plain SQL; a unit test compares a
-    small corpus with brute force.
+    The chunks are stored with their hashed terms, then weighed and searched from there.
     """
-    chunks = text.chunk(t["documents"], "doc_id", "text")
-    model = retrieval.fit_embedding(chunks, "chunk_to_embed")
+    chunks = text.chunk(t["documents"], "doc_id", "text").select("chunk_id", "chunk_to_embed")
+    stored = f"{working_folder(spark, 'chunks')}/chunks"
+    retrieval.hashed_terms(chunks, "chunk_to_embed").drop("chunk_to_embed").write.parquet(stored)
+    hashed = spark.read.parquet(stored)
+    model = retrieval.fit_weights(hashed)
     return retrieval.topk_similar(
         retrieval.embed_hash(t["benchmark"], model, "text"),
-        retrieval.embed_hash(chunks, model, "chunk_to_embed"),
+        retrieval.embed_terms(hashed, model),
         k=3,
         query_key="item_id",
         key="chunk_id",

@@ -49,6 +49,23 @@ def test_text_keys_and_empty_tasks(spark, options):
     assert rows(out) == [("q", "é", 6.0, 1), ("q", "a", 2.0, 2)]
 
 
+@pytest.mark.parametrize("options", [{}, {"query_bytes": 0, "block_bytes": 300}])
+def test_not_a_number_hides_nothing(spark, options):
+    data = [(1, [1.0, 0.0]), (2, [0.9, 0.0]), (3, [0.8, 0.0]), (4, [0.7, 0.0]), (5, [math.nan, 0.0])]
+    df = spark.createDataFrame(data, "id long, v array<double>").repartition(2)
+    out = retrieval.topk_similar(df.filter("id = 1"), df, 2, query_key="id", key="id", vector="v", skip_self=True, **options)
+    assert rows(out) == [(1, 2, 0.9, 1), (1, 3, 0.8, 2)]
+
+
+@pytest.mark.parametrize("options", [{}, {"query_bytes": 0, "block_bytes": 600}])
+def test_repeated_ids_spread_over_blocks(spark, options):
+    data = [(7, [float(i)]) for i in range(40)] + [(8, [100.0])]
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    asked = spark.createDataFrame([(1, [1.0])] * 9, "q long, v array<double>")
+    out = retrieval.topk_similar(asked, df, 3, query_key="q", key="id", vector="v", **options)
+    assert rows(out.filter("place = 1")) == [(1, 8, 100.0, 1)] and out.count() == 3
+
+
 def test_k_beyond_the_corpus_and_missing_vectors(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [2.0]), (3, None)], "id long, v array<float>")
     assert sorted(search(df, skip_self=True)) == [(1, 2, 2.0, 1), (2, 1, 2.0, 1)]
@@ -89,7 +106,9 @@ def test_nearest(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 3.0), (4, 9.0), (5, None)], "id long, n double")
     out = retrieval.nearest(df, "id", 1, "n", 3)
     assert [tuple(r) for r in out.collect()] == [(2, 7.0, 2.0), (3, 3.0, 2.0), (4, 9.0, 4.0)]
-    assert retrieval.nearest(df, "id", 42, "n", 3).filter("distance IS NOT NULL").isEmpty()
+    assert retrieval.nearest(df, "id", 42, "n", 3).isEmpty() and retrieval.nearest(df, "id", 5, "n", 3).isEmpty()
+    with pytest.raises(Exception, match="(?i)more than one row"):
+        retrieval.nearest(df.union(df), "id", 1, "n", 3).collect()
 
 
 def test_hits_without_figures_stay(spark):

@@ -24,6 +24,11 @@ def test_elements(spark):
     ]
 
 
+def test_control_characters_in_a_page_are_not_marks(spark):
+    pages = spark.createDataFrame([(1, "<p>one\x1ftwo</p><p>aa\x1ebb</p>")], "page_id int, html string")
+    assert rows(text.page_elements(pages, "page_id")) == [(1, 0, "p", "onetwo"), (1, 1, "p", "aabb")]
+
+
 def test_parsed_pages_keep_pages_without_elements(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, "")], "page_id int, html string")
     out = text.parse_pages(pages)
