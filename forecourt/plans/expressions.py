@@ -47,6 +47,39 @@ def names(expr: str) -> set[str]:
     return {m[2] or m[3] for m in _NAME.finditer(expr) if not m[1]}
 
 
+def renamed(expr: str, name: Callable[[str], str]) -> str:
+    """``expr`` with each backticked identifier that stands alone replaced by ``name`` of it."""
+
+    def replace(found: re.Match) -> str:
+        if found[1] or found[2] is None:
+            return found[0]
+        beside = expr[found.start() - 1 : found.start()], expr[found.end() : found.end() + 1]
+        return found[0] if "." in beside else f"`{name(found[2])}`"
+
+    return _NAME.sub(replace, expr)
+
+
+_COMPARED = re.compile(r"`([^`]+)`\s*(=|>=|<=|>|<)\s*DATE\s*'(\d{4}-\d{2}-\d{2})'", re.I)
+
+
+def date_comparisons(expr: str) -> list[tuple[str, str, dt.date]]:
+    """Comparisons of a backticked name with a date that every row meeting ``expr`` must meet.
+
+    They must be joined by AND at the top level; anything else in the text gives none.
+    """
+    found = []
+    for part in re.split(r"\bAND\b", expr, flags=re.I):
+        if match := _COMPARED.fullmatch(part.strip()):
+            found.append((match[1], match[2], dt.date.fromisoformat(match[3])))
+        elif re.search(r"\b(?:OR|NOT|BETWEEN|CASE)\b|[()'\"]", _PLAIN.sub("", part), re.I):
+            return []
+    return found
+
+
+# What may stand beside: one comparison of a name with a literal.
+_PLAIN = re.compile(rf"(?:`[^`]+`|[\w.]+)\s*(?:=|<>|!=|>=|<=|>|<)\s*(?:DATE\s*)?(?:{_LITERAL}|[\w.]+)", re.I)
+
+
 def aliases_used(exprs: Iterable[str], aliases: Iterable[str]) -> set[str]:
     """Aliases mentioned anywhere in the texts; a mention in any role counts as use."""
     mentioned = {name.casefold() for expr in exprs for name in names(expr)}

@@ -8,6 +8,7 @@ aggregate, sort. Spark optimises and runs it; nothing is evaluated here.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from fnmatch import fnmatchcase
@@ -151,7 +152,9 @@ class MetricView:
     ) -> DataFrame:
         """Measures grouped by dimensions, both chosen by name.
 
-        ``where`` filters on dimension names before aggregation. ``order_by``
+        ``where`` filters on dimensions before aggregation, by name or, in
+        backticks, by any label. Comparisons of a month dimension with a date are
+        also passed on as a range of its date, which a scan can use. ``order_by``
         takes names or ``(name, "asc" | "desc")``; a limited result is also
         ordered by its dimensions so that it is the same on every run. Display
         formats are applied last and never affect the order. Dimension tables
@@ -164,6 +167,7 @@ class MetricView:
 
         filtered_on: list[Field] = list(self.dimensions) if where is not None else []
         if isinstance(where, str):
+            where = ex.renamed(where, self._dimension_name)
             mentioned = ex.names(where)
             filtered_on = [d for d in self.dimensions if d.name in mentioned]
         computed = list(dict.fromkeys([*grouped, *filtered_on]))
@@ -182,6 +186,8 @@ class MetricView:
         rows = rows.withColumns({d.name: _typed(d, F.expr(sql)) for d, sql in dim_sql.items()})
         if where is not None:
             rows = rows.filter(where)
+        if isinstance(where, str):
+            rows = self._with_date_ranges(rows, where)
 
         keys = [F.col(f"`{d.name}`") for d in grouped]
         if wanted:
@@ -201,6 +207,35 @@ class MetricView:
             )
         )
 
+    def _dimension_name(self, asked: str) -> str:
+        """The name of the dimension called ``asked``; other identifiers as they are."""
+        if any(d.name == asked for d in self.dimensions):
+            return asked
+        hits = [d.name for d in self.dimensions if asked.casefold() in d.labels]
+        return hits[0] if len(hits) == 1 else asked
+
+    def _with_date_ranges(self, rows: DataFrame, where: str) -> DataFrame:
+        """``rows`` also filtered by what month comparisons imply for the date below.
+
+        A month start m that is at least some day has all its dates at or after that day; one that is at
+        most some day has them before the end of that day's month.
+        """
+        months = {
+            d.name: found[1]
+            for d in self.dimensions
+            if (found := re.fullmatch(r"trunc\(([\w.`]+), 'MM'\)", d.expr))
+        }
+        for name, comparison, day in ex.date_comparisons(where):
+            if name not in months:
+                continue
+            if comparison in ("=", ">", ">="):
+                rows = rows.filter(f"{months[name]} >= DATE'{day}'")
+            if comparison in ("=", "<", "<="):
+                index = day.year * 12 + day.month
+                following = dt.date(index // 12, index % 12 + 1, 1)
+                rows = rows.filter(f"{months[name]} < DATE'{following}'")
+        return rows
+
     def _sorted(self, result, grouped, wanted, order_by, limit) -> DataFrame:
         output = [*grouped, *wanted]
         keys, used = [], set()

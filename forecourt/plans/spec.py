@@ -59,7 +59,9 @@ class Field:
             "comment": self.comment,
             "format": self.format and self.format.kind,
         }
-        return {key: value for key, value in entries.items() if value}
+        if self.format and self.format.kind != "date":
+            entries["decimal_places"] = self.format.places
+        return {key: value for key, value in entries.items() if value or value == 0}
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any]) -> Field:

@@ -161,6 +161,12 @@ KPI_INVENTORY = MetricView(
         Measure(
             "平均年式", "avg(source.model_year)", ("平均モデルイヤー", "average model year"), _TENTHS
         ),
+        Measure(
+            "平均在庫日数",
+            "avg(datediff(current_date(), source.stocked_date))",
+            ("在庫日数", "days in stock", "average days in stock"),
+            _TENTHS,
+        ),
         Measure("認定中古車比率", share("source.certified"), ("認定比率", "certified ratio"), _PERCENT),
         Measure(
             "修復歴あり比率",

@@ -263,6 +263,36 @@ def inventory_totals(spark, t):
     return rounded(out, {"販売予定価格合計": MONEY, "仕入価格合計": MONEY})
 
 
+@query(
+    "kpi_inventory_days",
+    with_tables("sl_vehicles")
+    + f"""
+SELECT body_type AS "ボディタイプ", round(avg({TODAY} - stocked_date), 6) AS "平均在庫日数"
+FROM sl_vehicles WHERE status = '在庫中' GROUP BY 1""",
+)
+def inventory_days(spark, t):
+    """Days in stock of what is in stock, by body type."""
+    out = KPI_INVENTORY.query(
+        spark, ["body type"], ["days in stock"], where="source.status = '在庫中'", tables=t, as_of=AS_OF
+    )
+    return rounded(out, {"平均在庫日数": 6})
+
+
+@query(
+    "kpi_where_labels",
+    with_tables("sl_contracts", "sl_stores")
+    + """
+SELECT CAST(date_trunc('month', contract_date) AS DATE) AS "契約年月", count(*) AS "契約件数"
+FROM sl_contracts c LEFT JOIN sl_stores s ON c.store_id = s.store_id
+WHERE date_trunc('month', contract_date) >= DATE '2001-03-01' AND date_trunc('month', contract_date) < DATE '2001-07-01'
+  AND prefecture <> 'FRANCE' GROUP BY 1""",
+)
+def month_label(spark, t):
+    """Contracts of a span of months, filtered by labels instead of names."""
+    where = "`contract month` >= DATE'2001-03-01' AND `月` < DATE'2001-07-01' AND `prefecture` <> 'FRANCE'"
+    return KPI_SALES.query(spark, ["month"], ["deals"], where=where, tables=t)
+
+
 @query(
     "kpi_inventory_averages",
     with_tables("sl_vehicles")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,11 +51,11 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared location the cluster names.
 
     ``spark.checkpoint.dir`` must point at storage every executor can reach.
-    Only a local master may go without it; it then gets a folder of its own.
+    Only a local master may go without it; the folder then lies in the warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/forecourt/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{tempfile.mkdtemp(prefix='forecourt-')}/{purpose}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/forecourt/{purpose}-{uuid.uuid4().hex}"

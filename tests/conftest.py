@@ -16,8 +16,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", "6g")
+def spark(tmp_path_factory):
+    session = local_session("8", "6g", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield session
     session.stop()
 

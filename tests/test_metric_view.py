@@ -79,7 +79,7 @@ def test_yaml_gives_the_same_view():
 def test_built_in_views_have_the_declared_sizes():
     sizes = {v.name: (len(v.joins), len(v.dimensions), len(v.measures)) for v in BUILT_IN}
     assert sizes["kpi_sales"] == (2, 10, 8)
-    assert sizes["kpi_inventory"] == (1, 9, 8)
+    assert sizes["kpi_inventory"] == (1, 9, 9)
     assert sizes["kpi_inquiry"] == (1, 7, 5)
 
 
@@ -161,6 +161,7 @@ def test_metadata_is_on_the_columns(spark, business):
     out = KPI_SALES.query(spark, ["店舗名"], ["売上合計"], tables=business)
     assert out.schema["売上合計"].metadata["synonyms"][0] == "売上"
     assert out.schema["売上合計"].metadata["format"] == "number"
+    assert out.schema["売上合計"].metadata["decimal_places"] == 0
 
 
 # -- results ---------------------------------------------------------------
@@ -343,3 +344,33 @@ def test_parts_add_up_to_the_total(spark, small):
     for d in KPI_SALES.dimensions:
         parts = KPI_SALES.query(spark, [d.name], ["契約件数"], tables=t).agg(F.sum("契約件数")).first()[0]
         assert parts == total, d.name
+
+
+@pytest.mark.parametrize(
+    ("where", "pushed"),
+    [
+        ("`契約年月` = DATE'2001-07-01'", True),
+        ("`month` >= DATE'2001-06-01' and `契約年月` < DATE'2001-07-01'", True),
+        ("`契約年月` > DATE'2001-06-15' AND `メーカー` <> 'a'", True),
+        ("`契約年月` <= DATE'2001-06-15'", True),
+        ("`契約年月` = DATE'2001-07-01' OR `契約年月` = DATE'2001-06-01'", False),
+        ("NOT (`契約年月` = DATE'2001-07-01')", False),
+    ],
+)
+def test_month_filters_reach_the_scan_and_change_nothing(spark, small, where, pushed):
+    t = LogicalTables(spark, small)
+    ask = dict(dims=["契約年月"], measures=["契約件数"], tables=t)
+    got = KPI_SALES.query(spark, where=where, **ask)
+    name = where.replace("month", "契約年月")
+    want = KPI_SALES.query(spark, where=F.expr(name), **ask)
+    assert rows(got) == rows(want) and got.count()
+    scans = [line for line in plan(got).splitlines() if "PushedFilters" in line]
+    assert any("(o_orderdate," in line for line in scans) == pushed
+
+
+def test_labels_in_filters(spark, business):
+    by_label = KPI_SALES.query(spark, ["店舗名"], ["契約件数"], where="`prefecture` = 'Tokyo'", tables=business)
+    by_name = KPI_SALES.query(spark, ["店舗名"], ["契約件数"], where="`都道府県` = 'Tokyo'", tables=business)
+    assert rows(by_label) == rows(by_name) and by_name.count()
+    with pytest.raises(Exception, match="nowhere"):
+        KPI_SALES.query(spark, ["店舗名"], ["契約件数"], where="`nowhere` = 1", tables=business).collect()

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import final_plan, plan, rows
-from forecourt.operators import analysis, gold
+from forecourt.operators import analysis, gold, joins
 from forecourt.operators.ranking import ranked
 from forecourt.plans.views import KPI_SALES
 from forecourt.queries import QUERIES
@@ -117,6 +117,31 @@ def test_analyses_are_the_same_on_both_ways(business):
     turnover_days = partial(analysis.turnover_days, as_of=dt.date(2001, 8, 1))
     for fn in (analysis.store_ranking, analysis.top3_segment, turnover_days):
         assert rows(fn(business)) == rows(fn(business, broadcast_bytes=0))
+    assert rows(analysis.store_ranking(business)) == rows(analysis.store_ranking(business, window_rows=0))
+
+
+def test_nested_columns_are_measured(spark):
+    df = spark.range(1000).select(F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: i.cast("double")).alias("v"))
+    assert joins.measured_bytes({"a": df})["a"] >= 8_000_000
+    text = spark.range(10).select(F.struct(F.repeat(F.lit("x"), 1000).alias("s")).alias("v"))
+    assert joins.measured_bytes({"a": text})["a"] >= 10_000
+
+
+def test_a_grown_table_is_measured_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sizes = []
+    for n in (10, 10_000):
+        spark.range(n).write.mode("append").parquet(path)
+        sizes.append(joins.measured_bytes({"a": spark.read.parquet(path)})["a"])
+    assert sizes[1] > 500 * sizes[0]
+
+
+def test_large_files_are_not_measured(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.range(10_000).write.parquet(path)
+    monkeypatch.setattr(joins, "measured_bytes", lambda frames: dict.fromkeys(frames, 0) if not frames else 1 / 0)
+    side = spark.read.parquet(path)
+    assert joins.broadcast_if_small({"a": side}, 100)["a"] is side and not joins.fits_broadcast(side, 100)
 
 
 def test_top_k_needs_no_full_sort(spark, small):
@@ -124,7 +149,10 @@ def test_top_k_needs_no_full_sort(spark, small):
     assert "TakeOrderedAndProject" in plan(QUERIES["nearest_items"](spark, small))
 
 
-WRITING = {"ingest_incremental", "ingest_audit", "ingest_master", "landing_daily_counts", "medallion_gold", "mv_incremental"}
+WRITING = {
+    "ingest_incremental", "ingest_audit", "ingest_master", "landing_daily_counts", "medallion_gold", "dq_stream_metrics",
+    "mv_incremental", "mv_incremental_store", "chunk_topk", "pipeline_gold",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
