@@ -39,7 +39,8 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
 END = 1  # the id after each document
 GRID = 64  # tokens between the points where a piece may be cut
-CACHE = 1 << 18  # words, and as many pre-tokens, that a worker remembers
+WORDS = 1 << 19  # words that a worker remembers, about 150 bytes each
+PRE_TOKENS = 1 << 20  # and pre-tokens; a rare one costs a call of the tokenizer
 SLICE = 256
 
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
@@ -85,7 +86,7 @@ class WordIds:
     def learn(self, wanted: set[bytes]) -> None:
         """Puts the ids of all wanted words into the cache."""
         new = wanted.difference(self.words)
-        if len(self.words) + len(new) > CACHE:
+        if len(self.words) + len(new) > WORDS:
             self.words.clear()
             new = wanted
         parts, odd = {}, []
@@ -97,7 +98,7 @@ class WordIds:
                 odd.append(raw)
         needed = set(chain.from_iterable(parts.values()))
         unknown = needed.difference(self.pieces)
-        if len(self.pieces) + len(unknown) > CACHE:
+        if len(self.pieces) + len(unknown) > PRE_TOKENS:
             self.pieces.clear()
             unknown = needed
         unknown = list(unknown)
