@@ -113,7 +113,7 @@ _RAW_CONTRACTS = (
     " vehicle_id string, actual_price string, gross_profit string, day date"
 )
 CONTRACT_FEED = Feed(
-    name="contracts",
+    name="contract_feed",
     raw_schema=_RAW_CONTRACTS,
     types={
         "contract_id": "bigint",
