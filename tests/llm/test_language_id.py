@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -58,6 +59,23 @@ def test_priors_are_smoothed_level_by_level(spark):
     assert set(got) == {"a.x", "b.x", "c"} and [math.exp(p) for p in without] == pytest.approx(top)
 
 
+def test_every_declared_code_is_a_language(spark):
+    draw = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{i:02}": ["".join(draw.choices(letters, k=6)) for _ in range(30)] for i in range(70)}
+    rows = []
+    for i, (code, words) in enumerate(own.items()):
+        for _ in range(8 if i < 64 else 4):
+            rows.append((len(rows), " ".join(draw.choices(words, k=60)), code, "h"))
+    rare = [r for r in rows if r[2] >= "l64"]
+    undeclared = [(1000 + i, " ".join(draw.choices(own[f"l{64 + i}"], k=60)), None, None) for i in range(6)]
+    docs = spark.createDataFrame([*rows, *undeclared], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in identify(docs).collect()}
+    assert len(rare) == 24 and len(got) == len(rows) + 6
+    assert all(got[i].language == got[i].text_language == code and got[i].accepted for i, _, code, _ in rows)
+    assert [got[1000 + i].language for i in range(6)] == [f"l{64 + i}" for i in range(6)]
+
+
 def test_pages(spark, small):
     from forecourt.llm.language_id import q_page_language
 
