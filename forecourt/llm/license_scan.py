@@ -1,11 +1,12 @@
 """Licence notices in documents, by the Dice coefficient over word bigrams.
 
-A document is looked at in units: the whole text, runs of lines that resemble licences, lines, and sentences of lines.
+A document is looked at in units: the whole text, runs of lines that resemble licences, the paragraphs of a run and
+the stretches of its lines that belong to one template, lines, and sentences of lines.
 A unit's normalised words (lower case, without punctuation) give its set of bigrams, compared to each template's:
 2 * common / (unit + template). To reach the threshold t, a unit with n bigrams needs a template that has between
 n * t / (2 - t) and n * (2 - t) / t of them; other templates are not compared, and units with too few bigrams of any
 template are not compared at all. The best template wins (ties: smaller name); of overlapping units the better one,
-then the longer one, stays.
+then the longer one, stays, and what it leaves of a run is looked at again.
 
 Documents are scanned where they lie, without a shuffle; the templates are a fixed argument of bounded size.
 
@@ -16,6 +17,7 @@ each scanned; other columns pass through, an existing column of the result's nam
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -92,6 +94,51 @@ def sentences(line: str) -> Iterator[tuple[int, int]]:
         yield start, len(line)
 
 
+def gapless(weights: list[float]) -> Iterator[tuple[int, int]]:
+    """Longest stretches of positive weights."""
+    start = None
+    for i, w in enumerate([*weights, 0.0]):
+        if w > 0 and start is None:
+            start = i
+        elif w <= 0 and start is not None:
+            yield start, i
+            start = None
+
+
+def joined(weights: list[float], drop: float) -> Iterator[tuple[int, int]]:
+    """Stretches of the greatest sums, with no fall by more than ``drop`` within."""
+    start, end, total, best = None, 0, 0.0, 0.0
+    for i, w in enumerate(weights):
+        if start is not None and (total + w <= 0 or best - total - w > drop):
+            yield start, end
+            start = None
+        if start is None:
+            if w <= 0:
+                continue
+            start, total, best = i, 0.0, 0.0
+        total += w
+        if total >= best:
+            best, end = total, i + 1
+    if start is not None:
+        yield start, end
+
+
+def uncovered(run: list[tuple[int, int, set, int]], kept: list[tuple[str, float, int, int]]) -> Iterator[list]:
+    """The stretches of a run's lines that no notice touches, if one touches the run; ``kept`` is in order."""
+    starts = [a for _, _, a, _ in kept]
+    part: list = []
+    parts = [part]
+    for line in run:
+        i = bisect_left(starts, line[1])
+        if i and kept[i - 1][3] > line[0]:
+            part = []
+            parts.append(part)
+        else:
+            part.append(line)
+    if len(parts) > 1:
+        yield from filter(None, parts)
+
+
 class Matcher:
     def __init__(self, templates: Mapping[str, str], threshold: float):
         self.sets = {name: grams for name, text in sorted(templates.items()) if (grams := bigrams(text))}
@@ -119,14 +166,15 @@ class Matcher:
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(template, Dice coefficient, start, end) of the notices in a text, by start."""
         units: list[tuple[int, int, set]] = []
-        run: list[int] = []  # start and end of the run of lines that resemble licences
-        run_grams: set = set()
+        runs: list[list[tuple[int, int, set, int]]] = []
+        run: list[tuple[int, int, set, int]] = []  # start, end, bigrams and paragraph of lines that resemble licences
         whole: set | None = set()
-        at, run_words = 0, 0
+        at, paragraph, before, n_known = 0, 0, "", 0
         for line in text.split("\n"):
             words = _WORD.findall(line.lower())
             grams = set(zip(words, words[1:], strict=False))
             known = sum(map(self.having.__contains__, grams))
+            n_known += known + 1  # and one across the line feed
             end = at + len(line)
             if whole is not None:
                 whole |= grams
@@ -136,31 +184,58 @@ class Matcher:
                 if 2 * known >= len(grams):
                     units.append((at, end, grams))
                 units += [(at + a, at + b, bigrams(line[a:b])) for a, b in sentences(line)]
-            if words and 2 * known >= len(grams):  # a single word goes with the lines around it
-                if run and len(run_grams) * self.threshold <= self.largest * (2 - self.threshold):
-                    run[1] = end
-                    run_words += 1
-                else:
-                    run, run_grams, run_words = [at, end], set(), 1
-                run_grams |= grams
-            elif words and run:
-                if run_words > 1:
-                    units.append((run[0], run[1], bigrams(text[run[0] : run[1]])))
-                run, run_words = [], 0
+            if not words:
+                paragraph += 1
+            elif 2 * known >= len(grams):  # a single word goes with the lines around it
+                run.append((at, end, grams | {(before, words[0])} if run else grams, paragraph))
+                before = words[-1]
+            elif run:
+                runs.append(run)
+                run = []
             at = end + 1
-        if run and run_words > 1:
-            units.append((run[0], run[1], bigrams(text[run[0] : run[1]])))
-        if whole:
+        runs.append(run)
+        if whole and n_known * (2 - self.threshold) >= len(whole) * self.threshold:
             units.append((0, len(text), bigrams(text)))
-        return self.chosen(text, units)
+        kept: list[tuple[str, float, int, int]] = []
+        while units or runs:
+            units += [unit for own in runs for unit in self.of_run(text, own)]
+            kept, n = self.chosen(text, units, kept), len(kept)
+            # What the notices found leave of a run is looked at by itself.
+            units, runs = [], [part for own in runs for part in uncovered(own, kept)] if len(kept) > n else []
+        return kept
+
+    def of_run(self, text: str, run: list[tuple[int, int, set, int]]) -> list[tuple[int, int, set]]:
+        """The run, its paragraphs, and the stretches of its lines that belong to one template; of two lines at least."""
+        if len(run) < 2:
+            return []
+        starts = [i for i in range(len(run)) if i == 0 or run[i][3] != run[i - 1][3]]
+        stretches = {(0, len(run)), *zip(starts, [*starts[1:], len(run)], strict=True)}
+        for name, common in self.shared(run).items():
+            # A unit with n bigrams, c of them the template's, matches if 2 * c - t * n is at least t * template.
+            weights = [2 * common.get(i, 0) - self.threshold * len(line[2]) for i, line in enumerate(run)]
+            size = len(self.sets[name])
+            for a, b in {*gapless(weights), *joined(weights, 2 * (1 - self.threshold) * size)}:
+                if sum(common.get(i, 0) for i in range(a, b)) * (2 - self.threshold) >= size * self.threshold:
+                    stretches.add((a, b))
+        return [(run[a][0], run[b - 1][1], bigrams(text[run[a][0] : run[b - 1][1]])) for a, b in sorted(stretches) if b - a > 1]
 
-    def chosen(self, text: str, units: list[tuple[int, int, set]]) -> list[tuple[str, float, int, int]]:
+    def shared(self, run: list[tuple[int, int, set, int]]) -> dict[str, dict[int, int]]:
+        """For each template, how many bigrams the lines have in common with it; only those with enough in all."""
+        out: dict[str, dict[int, int]] = {}
+        for i, line in enumerate(run):
+            for name, n in Counter(name for g in line[2] for name in self.having.get(g, ())).items():
+                out.setdefault(name, {})[i] = n
+        t = self.threshold
+        return {name: own for name, own in out.items() if sum(own.values()) * (2 - t) >= len(self.sets[name]) * t}
+
+    def chosen(self, text: str, units: list[tuple[int, int, set]], kept: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
+        """``kept`` and the notices among the units beside them, by start."""
         found = []
         for a, b, grams in units:
             if match := self.best(grams):
                 a += len(text[a:b]) - len(text[a:b].lstrip())
                 found.append((-match[1], a - b, a, a + len(text[a:b].rstrip()), match[0]))
-        kept: list[tuple[str, float, int, int]] = []
+        kept = [*kept]
         for dice, _, a, b, name in sorted(found):
             if all(b <= x or y <= a for _, _, x, y in kept):
                 kept.append((name, round(-dice, 6), a, b))

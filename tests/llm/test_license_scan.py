@@ -39,6 +39,30 @@ def test_notices_of_all_shapes(spark):
             assert [n.license_id for n in got[3 * i + 2]] == [spans[3 * i + 2, "name"]]
 
 
+def wrapped(text, n=8):
+    words = text.split()
+    return "\n".join(" ".join(words[j : j + n]) for j in range(0, len(words), n))
+
+
+def test_adjoining_wrapped_notices():
+    matcher = Matcher(TEMPLATES, THRESHOLD)
+    for names in [
+        ("Apache-2.0-header", "MIT-permission"),
+        ("Apache-2.0-header", "GPL-3.0-header"),
+        ("ISC", "GPL-3.0-header"),
+        ("Apache-2.0-header", "MIT-permission", "Apache-2.0-header"),
+        ("GPL-3.0-header", "ISC", "MIT-permission", "Apache-2.0-header"),
+    ]:
+        for gap in ("\n", "\n\n", "\n \n\n"):
+            parts = [wrapped(TEMPLATES[n]) for n in names]
+            got = matcher.scan("Some prose here.\n" + gap.join(parts) + "\nMore prose there.")
+            at, want = 17, []
+            for name, part in zip(names, parts, strict=True):
+                want.append((name, 1.0, at, at + len(part)))
+                at += len(part) + len(gap)
+            assert got == want
+
+
 def test_planted_lines_are_found_and_prose_is_not(docs):
     got = {r.doc_id: r.notices for r in scan_licenses(docs).collect()}
     marks = re.compile("licensed under|released under the MIT|all rights reserved", re.I)
