@@ -20,6 +20,8 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from functools import cache
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -72,6 +74,147 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+    " following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of"
+    " conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,"
+    " this list of conditions and the following disclaimer in the documentation and/or other materials provided with the"
+    " distribution."
+)
+_BSD_3 = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES,"
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+    " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+    " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,"
+    " WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE"
+    " OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_AS_IS = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE"
+    " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+    " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+    " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC_AS_IS = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL"
+    " IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,"
+    " INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN"
+    " ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF"
+    " THIS SOFTWARE."
+)
+
+
+def _gnu(name: str, version: str) -> str:
+    text = TEMPLATES["GPL-3.0-header"].replace("GNU General Public License", f"GNU {name}")
+    text = text.replace("version 3", f"version {version}")
+    return text if version == "3" else text.replace("free software: you", "free software; you").replace(", either", "; either")
+
+
+_GNU = {
+    "AGPL-3.0": ("Affero General Public License", "3"),
+    "GPL-2.0": ("General Public License", "2"),
+    "LGPL-2.1": ("Lesser General Public License", "2.1"),
+    "LGPL-3.0": ("Lesser General Public License", "3"),
+}
+_MENTIONED = {
+    "AGPL-3.0": "GNU Affero General Public License, version 3",
+    "Apache-2.0": "Apache License 2.0",
+    "Artistic-2.0": "Artistic License 2.0",
+    "BSD": "BSD License",
+    "BSD-2-Clause": "BSD 2-Clause License",
+    "BSD-3-Clause": "BSD 3-Clause License",
+    "BSL-1.0": "Boost Software License 1.0",
+    "CC0-1.0": "CC0 1.0 Universal License",
+    "EPL-1.0": "Eclipse Public License 1.0",
+    "EPL-2.0": "Eclipse Public License 2.0",
+    "GFDL-1.3": "GNU Free Documentation License 1.3",
+    "GPL-2.0": "GNU General Public License, version 2",
+    "GPL-3.0": "GNU General Public License, version 3",
+    "ISC": "ISC License",
+    "LGPL-2.1": "GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "GNU Lesser General Public License, version 3",
+    "MPL-1.1": "Mozilla Public License 1.1",
+    "MPL-2.0": "Mozilla Public License 2.0",
+    "Unlicense": "Unlicense",
+    "Zlib": "zlib License",
+}
+for _name, _words in _MENTIONED.items():
+    TEMPLATES[f"{_name}-licensed"] = f"Licensed under the {_words}."
+    TEMPLATES[f"{_name}-released"] = f"Released under the {_words}."
+    TEMPLATES[f"{_name}-work"] = f"This work is licensed under the {_words}."
+del TEMPLATES["GPL-2.0-work"], TEMPLATES["GPL-3.0-work"]  # they are there as GPL-2.0 and GPL-3.0
+TEMPLATES |= {f"{name}-header": _gnu(*of) for name, of in _GNU.items()}
+TEMPLATES |= {
+    "0BSD": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+        " granted." + _ISC_AS_IS
+    ),
+    "BSD-2-Clause": _BSD + _BSD_AS_IS,
+    "BSD-2-Clause-conditions": _BSD,
+    "BSD-3-Clause": _BSD + _BSD_3 + _BSD_AS_IS,
+    "BSD-3-Clause-conditions": _BSD + _BSD_3,
+    "BSL-1.0-header": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at"
+        " http://www.boost.org/LICENSE_1_0.txt)"
+    ),
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0.",
+    "CC0-1.0-short": "Licensed under CC0 1.0.",
+    "CC0-1.0-statement": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."
+    ),
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"
+        " which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "ISC-text": TEMPLATES["ISC"] + _ISC_AS_IS,
+    "MIT-as-is": _MIT_AS_IS.strip(),
+    "MIT-text": TEMPLATES["MIT-permission"] + _MIT_AS_IS,
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,"
+        " compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,"
+        " commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors"
+        " of this software dedicate any and all copyright interest in the software to the public domain. We make this"
+        " dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this"
+        " dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under"
+        " copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT"
+        " LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL"
+        " THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,"
+        " ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable"
+        " for any damages arising from the use of this software. Permission is granted to anyone to use this software for any"
+        " purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following"
+        " restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the"
+        " original software. If you use this software in a product, an acknowledgment in the product documentation would be"
+        " appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be"
+        " misrepresented as being the original software. 3. This notice may not be removed or altered from any source"
+        " distribution."
+    ),
+}
+
+
+@cache
+def full_texts() -> dict[str, str]:
+    """The whole texts of licences, by file name."""
+    found = sorted((file.name, file) for file in files("forecourt.llm").joinpath("licenses").iterdir())
+    return {f"{name.removesuffix('.txt')}-text": file.read_text(encoding="utf-8").strip() for name, file in found if name.endswith(".txt")}
+
+
 _WORD = re.compile(r"\w+")
 NOTICES = "array<struct<license_id: string, dice: double, start: bigint, end: bigint>>"
 _ARROW_NOTICES = pa.list_(
@@ -246,13 +389,16 @@ def scan_licenses(
     docs: DataFrame,
     text_col: str = "text",
     out_col: str = "notices",
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str] | None = None,
     threshold: float = THRESHOLD,
     keep_text: bool = True,
 ) -> DataFrame:
-    """``docs`` with the licence notices of each text: template, Dice coefficient, start, end (code points)."""
+    """``docs`` with the licence notices of each text: template, Dice coefficient, start, end (code points).
+
+    Templates are by default notices and the whole texts of licences.
+    """
     docs = drop_names(docs, out_col)
-    at, templates = docs.columns.index(text_col), dict(templates)
+    at, templates = docs.columns.index(text_col), dict(TEMPLATES | full_texts() if templates is None else templates)
     kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
     schema = T.StructType([*(docs.schema.fields[i] for i in kept), *T._parse_datatype_string(f"`{out_col}` {NOTICES}").fields])
 

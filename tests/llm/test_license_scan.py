@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import re
 
-from forecourt.llm.license_scan import TEMPLATES, THRESHOLD, Matcher, bigrams, scan_licenses
+from forecourt.llm.license_scan import TEMPLATES, THRESHOLD, Matcher, bigrams, full_texts, scan_licenses
 
 
 def dice(a, b):
@@ -63,6 +63,16 @@ def test_adjoining_wrapped_notices():
             assert got == want
 
 
+def test_common_licences_and_full_texts_are_found(spark):
+    texts = {**full_texts(), **{n: wrapped(TEMPLATES[n]) for n in ("BSD-2-Clause", "BSD-3-Clause", "Unlicense", "MIT-text", "MPL-2.0-header")}}
+    assert {"Apache-2.0-text", "GPL-3.0-text", "LGPL-2.1-text", "MPL-2.0-text", "CC0-1.0-text"} <= set(texts)
+    rows = [(n, f"Some prose here.\n\n{t}\n\nMore prose there.") for n, t in texts.items()] + [(n, t) for n, t in texts.items()]
+    assert all(
+        r.name in [n.license_id for n in r.notices if n.dice >= 0.95]
+        for r in scan_licenses(spark.createDataFrame(rows, "name string, text string")).collect()
+    )
+
+
 def test_planted_lines_are_found_and_prose_is_not(docs):
     got = {r.doc_id: r.notices for r in scan_licenses(docs).collect()}
     marks = re.compile("licensed under|released under the MIT|all rights reserved", re.I)
