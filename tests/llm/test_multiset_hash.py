@@ -39,6 +39,14 @@ def test_likeness_follows_shared_paragraphs(spark, n, shared):
     assert abs(got - shared / n) <= 0.25
 
 
+def test_likeness_of_very_long_texts(spark):
+    texts = ["\n".join(f"{own} {i}" for i in range(20_000)) for own in "pq"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    one, other = (r.f for r in df.select(fingerprint(F.col("t")).alias("f")).collect())
+    pair = spark.createDataFrame([(one, other)], "a array<struct<lane: int, a: bigint, b: bigint>>, b array<struct<lane: int, a: bigint, b: bigint>>")
+    assert pair.select(likeness(F.col("a"), F.col("b"))).first()[0] <= 0.25
+
+
 def expected(pairs):
     order = sorted(set(pairs), key=lambda d: (d[0] is not None, d[0] or 0))
     after = {d: order[(i + 1) % len(order)] for i, d in enumerate(order)}
