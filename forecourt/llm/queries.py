@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from forecourt.llm import oracles
+from forecourt.llm.centroids import CENTROIDS_SQL, q_centroids
 from forecourt.llm.chosen_path import q_near_duplicates
 from forecourt.llm.decontaminate import q_decontamination
 from forecourt.llm.language_id import q_language_id, q_page_language
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_counts": q_token_counts,
     "op9_language_id": q_language_id,
     "op10_secret_scan": q_secret_scan,
+    "op11_centroids": q_centroids,
     "llm_page_language": q_page_language,
 }
 
@@ -33,4 +35,5 @@ ORACLES = {
     "op4_near_duplicates": oracles.NEAR_DUPLICATES,
     "op5_personal_data": oracles.PERSONAL_DATA,
     "op10_secret_scan": oracles.SECRET_SCAN,
+    "op11_centroids": CENTROIDS_SQL,
 }
