@@ -5,6 +5,7 @@ from __future__ import annotations
 from forecourt.llm import oracles
 from forecourt.llm.centroids import CENTROIDS_SQL, q_centroids
 from forecourt.llm.chosen_path import q_near_duplicates
+from forecourt.llm.conversation_repair import q_conversation_repair
 from forecourt.llm.decontaminate import q_decontamination
 from forecourt.llm.language_id import q_language_id, q_page_language
 from forecourt.llm.license_scan import q_license_scan
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_language_id": q_language_id,
     "op10_secret_scan": q_secret_scan,
     "op11_centroids": q_centroids,
+    "op13_conversation_repair": q_conversation_repair,
     "llm_page_language": q_page_language,
 }
 
