@@ -15,6 +15,7 @@ from forecourt.llm.packing import q_packing
 from forecourt.llm.sanitise import q_personal_data
 from forecourt.llm.secret_ledger import q_secret_scan
 from forecourt.llm.token_counts import q_token_counts
+from forecourt.llm.toxicity import q_toxicity
 
 QUERIES = {
     "op1_line_dedup": q_line_dedup,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_language_id": q_language_id,
     "op10_secret_scan": q_secret_scan,
     "op11_centroids": q_centroids,
+    "op12_toxicity": q_toxicity,
     "op13_conversation_repair": q_conversation_repair,
     "llm_page_language": q_page_language,
 }
