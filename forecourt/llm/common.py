@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,22 @@ def broadcast_if_few(df: DataFrame, most_rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, release: Callable[[], None]) -> None:
+    """What ``owner`` remembers in this Python worker stays until another owner begins there.
+
+    Workers outlive the stages of a job; without this they would keep every earlier stage's caches.
+    """
+    others = [_held.pop(name) for name in list(_held) if name != owner]
+    for release_other in others:
+        release_other()
+    _held[owner] = release
+    if others:
+        gc.collect()
+
+
 BITMAP_BITS = 1 << 20
 
 

@@ -2,9 +2,10 @@
 
 Texts are reduced to lower-case words with single blanks between them. A test item of m characters may occur with up to
 k = floor(m * rate) edits. Cut into k + 1 pieces, at least one piece must occur unchanged (pigeonhole); all pieces
-of all items are looked for in one pass (Aho-Corasick). Around each hit the item is compared by Myers'
-bit-parallel distance, hits on neighbouring diagonals together, so that a text costs in proportion to its length for
-each item that it resembles.
+of all items are looked for in one pass (Aho-Corasick). Around each hit that no earlier match explains, the item is
+compared by Myers' bit-parallel distance in a window of its length and the budget on both sides, so that a text costs in proportion to its
+hits, and one occurrence never hides its neighbour. Occurrences of an item don't overlap; from the left, each begins
+behind the one before.
 
 Documents are scanned where they lie. Items come in blocks of bounded size: each block is broadcast and scanned by
 itself, so neither the driver nor a task holds more than a block of any benchmark.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.llm.common import documents, drop_names, free_name
+from forecourt.llm.common import documents, drop_names, free_name, hold
 
 RATE = 0.06  # edits allowed per character of an item
 BLOCK_CHARS = 8_000_000  # characters of benchmark text scanned for at a time
@@ -130,25 +131,34 @@ class Scanner:
 
     def verified(self, number: int, diagonals: set[int], plain: str) -> Iterator[tuple[int, int, int, int]]:
         text, budget, forward, backward, _ = self.items[number]
-        m, windows = len(text), []
+        m, before = len(text), 0
+        explained = -1
         for d in sorted(diagonals):
-            a, b = max(0, d - budget), min(len(plain), d + m + budget)
-            if windows and a <= windows[-1][1]:
-                windows[-1][1] = b
-            else:
-                windows.append([a, b])
-        for a, b in windows:
-            while b - a >= m - budget:  # a window may hold the item more than once
-                if (at := plain.find(text, a, b)) >= 0:
-                    distance, start, end = 0, at, at + m
-                else:
-                    distance, end = myers(forward, m, plain[a:b])
-                    if distance > budget:
-                        break
-                    end += a
-                    start = end - myers(backward, m, reversed(plain[max(a, end - m - budget) : end]), True)[1]
-                yield number, start, end, distance
-                a = end
+            # Each diagonal has a window of its own, so the cost is in proportion to the number of hits.
+            a, b = max(before, d - budget), min(len(plain), d + m + budget)
+            if d <= explained or b - a < m - budget:
+                continue
+            found = self.nearest(text, budget, forward, backward, plain, a, b)
+            if found and found[2]:
+                # A hit by chance may have cut off the end of the occurrence that it met.
+                reach = min(len(plain), found[0] + m + budget)
+                found = self.nearest(text, budget, forward, backward, plain, max(a, found[0] - budget), max(b, reach)) or found
+            if found:
+                yield number, found[0], found[1], found[2]
+                before, explained = found[1], found[0] + budget
+
+    @staticmethod
+    def nearest(text: str, budget: int, forward: dict, backward: dict, plain: str, a: int, b: int) -> tuple[int, int, int] | None:
+        """(start, end, distance) of the first exact or else the best occurrence between two places."""
+        m = len(text)
+        if (at := plain.find(text, a, b)) >= 0:
+            return at, at + m, 0
+        distance, end = myers(forward, m, plain[a:b])
+        if distance > budget:
+            return None
+        end += a
+        start = end - myers(backward, m, reversed(plain[max(a, end - m - budget) : end]), True)[1]
+        return start, end, distance
 
 
 @lru_cache(maxsize=2)
@@ -195,6 +205,7 @@ def _scanned(docs: DataFrame, items, text_col: str, out_col: str, rate: float) -
     at = docs.columns.index(text_col)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("decontamination", _scanner.cache_clear)
         scanner = _scanner(items.value, rate)
         for batch in batches:
             leaks = [

@@ -8,7 +8,8 @@ For each language, a row's score is the sum of
   * the log-prior of its host. Host priors are counts of declared languages by host, smoothed towards those of the
     host's address suffix, which are smoothed towards the whole: (n(host, l) + K * p(l | suffix)) / (n(host) + K).
 
-Every code that some row declares is a language. Models, agreement and priors come from grouped aggregation over all
+Every code that some row declares is a language, told by its primary subtag in lower case, so that variants of one
+language (``en``, ``en-US``) don't stand against each other. Models, agreement and priors come from grouped aggregation over all
 rows. A text costs a table lookup per character; trigrams are hashed into a table of fixed size. Models are trained and
 broadcast in blocks of languages, of which the driver and a task hold one at a time. Texts are not shuffled as long as
 hosts and codes are few enough to be broadcast (checked); beyond that, rows are joined to their host's prior and
@@ -204,6 +205,11 @@ def agreement(scores: DataFrame, score_col: str, declared: str, languages: list[
     return scores.sparkSession.createDataFrame(((l, logs(i)) for i, l in enumerate(languages)), "declared string, agreed array<double>")
 
 
+def primary_code(code: Column) -> Column:
+    """The language of a declared code, however it is written: ``en`` of ``en-US``, ``EN`` and ``en_Latn_GB``."""
+    return F.nullif(F.regexp_extract(F.lower(code), r"^\s*([^\s_-]+)", 1), F.lit(""))
+
+
 def constant(values: list) -> Column:
     return F.array(*map(F.lit, values))
 
@@ -227,7 +233,7 @@ def identify(
         free_name(names, n) for n in ("said", "at_host", "at_suffix", "score", "prior", "of_host", "agreed", "of_code")
     )
     nothing = F.lit(None).cast("string")
-    rows = docs.withColumn(said, F.col(f"`{declared}`").cast("string") if declared else nothing)
+    rows = docs.withColumn(said, primary_code(F.col(f"`{declared}`").cast("string")) if declared else nothing)
     rows = rows.withColumn(at_host, F.col(f"`{host}`").cast("string") if host else nothing)
     last = F.nullif(F.regexp_extract(F.col(at_host), r"\.([^.]+)$", 1), F.lit(""))
     rows = rows.withColumn(at_suffix, F.col(f"`{suffix}`").cast("string") if suffix else last)

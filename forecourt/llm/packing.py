@@ -32,15 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import documents, written
+from forecourt.llm.common import documents, hold, written
 from forecourt.llm.token_counts import tokenizer_path
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
 END = 1  # the id after each document
 GRID = 64  # tokens between the points where a piece may be cut
-WORDS = 1 << 19  # words that a worker remembers, about 150 bytes each
-PRE_TOKENS = 1 << 20  # and pre-tokens; a rare one costs a call of the tokenizer
+WORDS = 1 << 18  # words that a worker remembers, about 150 bytes each
+PRE_TOKENS = 1 << 19  # and pre-tokens; a rare one costs a call of the tokenizer
 SLICE = 256
 
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
@@ -115,14 +115,19 @@ class WordIds:
             yield b"".join(map(self.words.__getitem__, w))
 
 
-@lru_cache(maxsize=4)
-def word_ids(name: str) -> WordIds:
+@lru_cache(maxsize=1)
+def _word_ids(name: str) -> WordIds:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordIds(name)
 
 
+def word_ids(name: str) -> WordIds:
+    hold("packing", _word_ids.cache_clear)
+    return _word_ids(name)
+
+
 def shifted(crc: int, n_bytes: int) -> int:
     """The part of a checksum that stays when ``n_bytes`` follow: crc(a + b) == shifted(crc(a), len(b)) ^ crc(b)."""
     zeros = bytes(n_bytes)

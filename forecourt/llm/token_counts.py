@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.llm.common import documents, drop_names
+from forecourt.llm.common import documents, drop_names, hold
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1 << 16  # entries of the broadcast table and of each task's summary
@@ -94,14 +94,19 @@ class PreTokens:
         return [n + sum(map(self.cache.__getitem__, words)) for n, words in zip(totals, missed, strict=True)]
 
 
-@lru_cache(maxsize=4)
-def pre_tokens(name: str) -> PreTokens:
+@lru_cache(maxsize=1)
+def _pre_tokens(name: str) -> PreTokens:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core already
     return PreTokens(name)
 
 
+def pre_tokens(name: str) -> PreTokens:
+    hold("token counts", _pre_tokens.cache_clear)
+    return _pre_tokens(name)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return ["" if t is None else t for t in column.to_pylist()]
 

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from forecourt.llm import decontaminate
-from forecourt.llm.decontaminate import Scanner, find_leaks, masks, myers, normalised, places, split_pieces
+from forecourt.llm.decontaminate import RATE, Scanner, find_leaks, masks, myers, normalised, places, split_pieces
 
 
 def best_by_table(item, text, anchored):
@@ -95,3 +96,42 @@ def test_awkward_rows(spark, awkward, nothing):
     assert find_leaks(nothing, benchmark).count() == 0
     empty = spark.createDataFrame([], "item_id long, text string")
     assert [r.leaks for r in find_leaks(out, empty).collect()] == [[]] * awkward.count()
+
+
+ITEM = "the quick brown fox jumps over the lazy dog while seven wizards boil a large pot of turnip soup near the old mill"
+
+
+def edited(text, n):
+    out = list(text)
+    for i in range(n):
+        out[7 + 11 * i] = "q"
+    return "".join(out)
+
+
+def spans_of(text):
+    return Scanner([(1, ITEM)], RATE).scan(text)
+
+
+@pytest.mark.parametrize("first, second", [(2, 0), (0, 2), (3, 1), (1, 3), (2, 2), (0, 0)])
+def test_neighbours_do_not_hide_each_other(first, second):
+    text = f"{edited(ITEM, first)} {edited(ITEM, second)}"
+    assert [h[3] for h in spans_of(text)] == [first, second]
+    assert spans_of(text)[0][1:3] == (0, len(ITEM))
+    assert spans_of(text)[1][1:3] == (len(ITEM) + 1, 2 * len(ITEM) + 1)
+
+
+def test_many_edited_copies_cost_in_proportion():
+    copies = [edited(ITEM, i % 4) for i in range(400)]
+    assert [h[3] for h in spans_of(" ".join(copies))] == [i % 4 for i in range(400)]
+
+
+def test_caches_of_one_stage_go_when_another_begins():
+    from forecourt.llm import common
+
+    gone = []
+    common.hold("first", lambda: gone.append("first"))
+    common.hold("first", lambda: gone.append("first"))
+    assert gone == []
+    common.hold("second", lambda: gone.append("second"))
+    assert gone == ["first"]
+    common._held.clear()

@@ -96,3 +96,11 @@ def test_awkward_rows(spark, awkward, nothing):
     undeclared = spark.createDataFrame([(1, "some text", None, "h")], "doc_id long, text string, lang string, source string")
     assert [(r.language, r.accepted) for r in identify(undeclared).collect()] == [(None, False)]
     assert identify(out).columns == out.columns
+
+
+def test_variants_of_a_code_are_one_language(spark, docs):
+    variant = F.when(F.col("doc_id") % 2 == 0, F.concat("lang", F.lit("-US"))).when(F.col("doc_id") % 3 == 0, F.upper("lang"))
+    mixed = docs.withColumn("lang", F.coalesce(variant, "lang"))
+    columns = ["doc_id", "language", "accepted", "probability"]
+    plain, other = (sorted(map(tuple, identify(d, keep_text=False).select(columns).collect())) for d in (docs, mixed))
+    assert plain == other
