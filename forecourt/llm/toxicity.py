@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import documents, drop_names, written
 
 SAMPLE = 20_000  # labelled documents of each class that are learned from, at most
-LEXICON = 1_000  # terms, those that tell most
+LEXICON = 200  # terms, those that tell most
+LEAST_SHARE = 0.05  # of the best term's log-likelihood ratio; words of a few near copies of one text stay below
 CUES = 500  # context words, those that tell most
 STEMS = range(4, 9)  # letters of a stem
 LEAST_ODDS = 2.0  # log odds of a term
@@ -198,11 +199,13 @@ N_FEATURES = 5
 
 
 def chosen_terms(counts: Iterable[tuple[str, float]], most: int) -> dict[str, float]:
-    """Up to ``most`` of (term, weight), best first, that no shorter chosen stem makes needless."""
+    """Up to ``most`` of (term, weight), best first, without those that a chosen stem covers and stems of a
+    chosen term that tells as much."""
     out: dict[str, float] = {}
     for term, weight in counts:
         word = term.removesuffix("*")
         covered = any(out.get(f"{word[:k]}*", 0.0) >= weight - 1.0 for k in STEMS if k < len(word) or (k == len(word) and not term.endswith("*")))
+        covered = covered or (term.endswith("*") and any(t.startswith(word) and w >= weight for t, w in out.items()))
         if not covered:
             out[term] = weight
             if len(out) == most:
@@ -252,9 +255,9 @@ def telling(counts: DataFrame, all_toxic: int, all_clean: int, most: int) -> lis
     good = counts.select("word", gain.alias("gain"), odds.alias("odds")).filter(
         (F.col("odds") >= LEAST_ODDS) & (F.col("gain") >= 2 * math.log(candidates) + LEAST_GAIN)
     )
-    # A stem of equal gain goes before its words.
-    best = good.orderBy(F.desc(F.round("gain", 6)), F.length("word"), "word").limit(most)
-    return [(row.word, row.odds) for row in best.collect()]
+    # Of terms with equal gain the longest comes first, which may be misspelled most.
+    best = good.orderBy(F.desc(F.round("gain", 6)), F.desc(F.length(F.rtrim("word", F.lit("*")))), "word").limit(most).collect()
+    return [(row.word, row.odds) for row in best if row.gain >= LEAST_SHARE * best[0].gain]
 
 
 def _mapped(rows: DataFrame, function, schema: str) -> DataFrame:
