@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.operators.gold import month_of, ratio
-from forecourt.sources.files import drop_partitions, layer_path, write_layer
+from forecourt.sources.files import NULL_PARTITION, drop_partitions, layer_path, write_layer
 
 # So many months are passed to the scan as a list; beyond, a semi join selects them.
 LISTED_MONTHS = 1200
@@ -19,7 +20,18 @@ Mart = Callable[[DataFrame], DataFrame]
 
 
 def _months(rows: DataFrame) -> set:
-    return {row[0] for row in rows.select("sales_month").distinct().collect()}
+    return {row[0] for row in rows.select(F.col("sales_month").cast("date")).distinct().collect()}
+
+
+def stored_rows(spark: SparkSession, path: str, folders: str | list[str]) -> DataFrame:
+    """The rows below some folders of a table; no other folder is listed."""
+    below = [f"{path}/{f}" for f in ([folders] if isinstance(folders, str) else folders)]
+    rows = spark.read.option("basePath", path).parquet(*below)
+    return rows.withColumns({"sales_month": F.col("sales_month").cast("date"), "batch": F.col("batch").cast("string")})
+
+
+def month_folder(month: object) -> str:
+    return f"sales_month={NULL_PARTITION if month is None else month}"
 
 
 def stored_months(
@@ -27,11 +39,10 @@ def stored_months(
 ) -> set:
     """The months a batch, or one load of it, has rows in; none if it was never loaded."""
     try:
-        stored = spark.read.parquet(layer_path(base, "silver", name))
-    except AnalysisException:  # nothing has been loaded yet
+        stored = stored_rows(spark, layer_path(base, "silver", name), f"sales_month=*/batch={batch}")
+    except AnalysisException:  # the batch has never been loaded
         return set()
-    own = F.col("batch") == batch
-    return _months(stored.filter(own if load is None else own & (F.col("load") == load)))
+    return _months(stored if load is None else stored.filter(F.col("load") == load))
 
 
 def add_batch(
@@ -41,8 +52,11 @@ def add_batch(
 
     The months that an earlier load of the batch had and this one lacks are left for the caller to
     remove, after it has dealt with them: until then a repeated run finds them again.
-    Months come first in the layout, so a refresh lists the folders of its months only.
+    Months come first in the layout, so a refresh reads its months' folders only; ``batch`` must be plain in a
+    folder name (letters, digits, ``_``, ``-``, ``.``), as it is part of the path.
     """
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"not a plain batch name: {batch!r}")
     spark, load = rows.sparkSession, uuid.uuid4().hex
     before = stored_months(spark, base, batch, name)
     stamped = rows.withColumns(
@@ -106,7 +120,12 @@ def refresh_incremental(
     load, months, gone = add_batch(delta, base, batch, date)
     path = layer_path(base, "silver", "contracts")
     stale = (F.col("batch") == batch) & (F.col("load") != load)
-    rows = rows_of_months(spark.read.parquet(path).filter(~stale), months | gone).drop("load")
+    touched = months | gone
+    if not touched:  # an empty load of a batch that had no rows
+        return layer_path(base, "view", name)
+    # Beyond so many months the whole table is listed once, which is cheaper than that many paths.
+    some = [month_folder(m) for m in touched] if len(touched) <= LISTED_MONTHS else ""
+    rows = rows_of_months(stored_rows(spark, path, some).filter(~stale), touched).drop("load")
     view = write_layer(mart(rows), base, "view", name, ("sales_month",))
     empty = gone - _months(rows) if gone else set()
     drop_partitions(spark, view, [{"sales_month": month} for month in empty])

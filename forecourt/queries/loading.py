@@ -11,7 +11,7 @@ from forecourt.queries.registry import query, rounded
 from forecourt.session import working_folder
 from forecourt.sources import files
 from forecourt.sources.bindings import with_tables
-from forecourt.streaming.ingest import ingest_files
+from forecourt.streaming.ingest import ingest_checked, ingest_files
 from forecourt.streaming.medallion import Feed, run_medallion
 
 _RAW_EVENTS = "event_id string, ts string, user_id string, event_type string, value string, props string, day date"
@@ -87,6 +87,49 @@ def landing_daily_counts(spark, t):
     )
 
 
+@query(
+    "ingest_quarantine",
+    """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS file_day, count(*) AS delivered,
+  count(*) FILTER (event_id % 40 >= 2) AS accepted,
+  count(*) FILTER (event_id % 40 = 0) AS short, count(*) FILTER (event_id % 40 = 1) AS long,
+  round(coalesce(sum(value) FILTER (event_id % 40 >= 2), 0), 4) AS value
+FROM events GROUP BY 1""",
+)
+def ingest_quarantine(spark, t):
+    """Delivered lines by day: those accepted, and those kept aside because a field is missing or too many.
+
+    Every fortieth line lacks its last field, and every fortieth has one more.
+    """
+    base = working_folder(spark, "quarantine")
+    columns = ["event_id", "user_id", "event_type", "value"]
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    kind = F.col("event_id") % 40
+    line = F.when(kind == 0, F.concat_ws(",", *fields[:-1])).when(kind == 1, F.concat_ws(",", *fields, F.lit("more")))
+    lines = t["events"].select(
+        F.to_date("ts").alias("day"), line.otherwise(F.concat_ws(",", *fields)).alias("event_id,user_id,event_type,value")
+    )
+    landing, out, aside = f"{base}/landing", f"{base}/bz_events", f"{base}/bz_events_quarantine"
+    # One column without quotes: its name is the header line, its values are the lines as they are.
+    writer = lines.hint("rebalance", "day").write.partitionBy("day").option("header", True)
+    writer.option("quote", "").option("sep", "\t").csv(landing)
+    schema = ", ".join(f"{c} string" for c in columns) + ", day date"
+    for _ in range(2):  # the second run finds nothing new
+        ingest_checked(spark, landing, schema, out, aside, f"{base}/_checkpoint")
+    day = F.regexp_extract("_source_file", r"day=(\d{4}-\d{2}-\d{2})/", 1).alias("file_day")
+    kept = spark.read.parquet(out).select(day, F.lit(0).alias("fields"), F.col("value").cast("double").alias("value"))
+    refused = spark.read.parquet(aside).select(
+        day, F.size(F.split("_line", ",")).alias("fields"), F.lit(None).cast("double").alias("value")
+    )
+    return kept.unionByName(refused).groupBy("file_day").agg(
+        F.count(F.lit(1)).alias("delivered"),
+        F.count_if(F.col("fields") == 0).alias("accepted"),
+        F.count_if(F.col("fields") == 3).alias("short"),
+        F.count_if(F.col("fields") == 5).alias("long"),
+        F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 4).alias("value"),
+    )
+
+
 EVENT_FEED = Feed(
     name="events",
     raw_schema=_RAW_EVENTS,

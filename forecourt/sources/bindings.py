@@ -92,7 +92,7 @@ GROUP BY CAST(l_shipdate AS DATE), p_type""",
     "sl_notes": (
         ("conversations",),
         """
-SELECT conv_id AS note_id, turn, role, text FROM {conversations} WHERE role <> 'system'""",
+SELECT conv_id AS note_id, turn, role, text FROM {conversations} WHERE role IS DISTINCT FROM 'system'""",
     ),
 }
 

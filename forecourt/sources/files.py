@@ -57,7 +57,7 @@ def write_layer(
 
 
 # Fixed value: the folder name Spark gives to a NULL partition value.
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def drop_partitions(
@@ -72,5 +72,5 @@ def drop_partitions(
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for partition in partitions:
-        names = (f"{k}={_NULL_PARTITION if v is None else v}" for k, v in partition.items())
+        names = (f"{k}={NULL_PARTITION if v is None else v}" for k, v in partition.items())
         files.delete(hadoop("/".join((path.rstrip("/"), *names))), True)

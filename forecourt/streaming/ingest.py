@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from forecourt.operators import quality
 
@@ -54,6 +54,42 @@ def ingest_files(
     run.awaitTermination()
 
 
+def ingest_checked(
+    spark: SparkSession,
+    source: str,
+    schema: StructType | str,
+    out: str,
+    quarantine: str,
+    checkpoint: str,
+    max_files: int = 10_000,
+) -> None:
+    """Like ``ingest_files``, but lines with too few or too many fields go to ``quarantine`` as they were delivered.
+
+    A quarantined row is the line, its file and the time it was read; what is in bronze and in quarantine adds up to
+    what was delivered. Every micro-batch replaces its own ``batch_id=`` folder of both tables, so a batch that is run
+    again after a failure is written once. No column of ``schema`` may be called ``_line``.
+    """
+    parsed = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    stream = (
+        spark.readStream.schema(StructType([*parsed.fields, StructField("_line", StringType())]))
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_line")
+        .option("maxFilesPerTrigger", max_files)
+        .csv(source)
+    )
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        def put(rows: DataFrame, path: str) -> None:
+            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+        put(batch.filter("_line IS NULL").drop("_line"), out)
+        put(batch.filter("_line IS NOT NULL").select("_line", "_source_file", "_ingested_at"), quarantine)
+
+    writer = audited(stream).writeStream.foreachBatch(store).trigger(availableNow=True)
+    writer.option("checkpointLocation", checkpoint).start().awaitTermination()
+
+
 def refine(
     spark: SparkSession,
     bronze: str,

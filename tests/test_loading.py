@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 from types import SimpleNamespace
 
 import pytest
@@ -164,3 +165,33 @@ def test_working_folder_prefers_the_shared_one(spark):
     assert working_folder(session("yarn", "s3://shared/"), "x").startswith("s3://shared/forecourt/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         working_folder(session("yarn"), "x")
+
+
+def test_lines_with_other_numbers_of_fields_are_kept_aside(spark, tmp_path):
+    from forecourt.streaming.ingest import ingest_checked
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('a,b\n1,x\n2\n3,y,z\n,\n"4","q,r"\n')
+    args = [str(tmp_path / p) for p in ("in", "out", "aside", "mark")]
+    for _ in range(2):
+        ingest_checked(spark, args[0], "a string, b string", *args[1:])
+    kept = [tuple(r) for r in spark.read.parquet(args[1]).select("a", "b").collect()]
+    assert sorted(kept, key=str) == [("1", "x"), ("4", "q,r"), (None, None)]
+    aside = spark.read.parquet(args[2]).collect()
+    assert sorted(r._line for r in aside) == ["2", "3,y,z"]
+    assert all(r._source_file.endswith("a.csv") and r._ingested_at for r in aside)
+
+
+def test_a_refresh_reads_the_touched_months_only(spark, tmp_path):
+    base = str(tmp_path)
+    columns = "contract_date date, actual_price double, gross_profit double, customer_id long"
+    for batch, month in (("1", 1), ("2", 2), ("3", 1)):
+        delta = spark.createDataFrame([(dt.date(2001, month, 3), 10.0, 1.0, month)], columns)
+        refresh.refresh_incremental(spark, delta, base, batch)
+    path = refresh.layer_path(base, "silver", "contracts")
+    own = refresh.stored_rows(spark, path, refresh.month_folder(dt.date(2001, 1, 1)))
+    assert {f.split("sales_month=")[1][:10] for f in own.inputFiles()} == {"2001-01-01"}
+    got = {r.sales_month: r.units for r in spark.read.parquet(refresh.summary_path(base)).collect()}
+    assert got == {dt.date(2001, 1, 1): 2, dt.date(2001, 2, 1): 1}
+    with pytest.raises(ValueError):
+        refresh.refresh_incremental(spark, delta, base, "a/b")
