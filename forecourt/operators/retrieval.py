@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log
+from math import log
 
 import numpy as np
 import pandas as pd
@@ -13,96 +13,17 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.operators.similarity import BLOCK_BYTES, Best, nothing, vector_bytes
+from forecourt.operators.vector_table import VectorTable
+from forecourt.session import working_folder
+
 # Tasks get the functions below by value, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Query vectors held by every task; more of them are handled block by block.
 QUERY_BYTES = 32 << 20
-# Vectors of one side in one block, and query rows multiplied at a time.
-BLOCK_BYTES = 32 << 20
-_ROWS_AT_ONCE = 256
-_DIGITS = 6
-
-
-class _Best:
-    """The ``k`` most similar vectors seen so far for each query; ties go to the lower id.
-
-    Holds ``k`` rows per query whatever the number of vectors shown to it. A
-    vector enters only if it reaches the query's ``k``-th similarity so far.
-    """
-
-    def __init__(self, query_ids: pd.Series, queries: pd.Series, k: int, skip_self: bool):
-        self.query_ids, self.queries = _ids(query_ids), _matrix(queries)
-        self.k, self.skip_self = k, skip_self
-        self.bar = np.full(len(self.query_ids), -np.inf)
-        self.rows = None  # query position, id, similarity
-
-    def show(self, ids: pd.Series, vectors: pd.Series) -> None:
-        ids, vectors = _ids(ids), _matrix(vectors).T
-        for start in range(0, len(self.query_ids), _ROWS_AT_ONCE):
-            block = np.round(self.queries[start : start + _ROWS_AT_ONCE] @ vectors, _DIGITS)
-            block[np.isnan(block)] = -np.inf  # no similarity at all
-            if self.skip_self:
-                own = self.query_ids[start : start + _ROWS_AT_ONCE, None] == ids[None, :]
-                block[own] = -np.inf
-            bar = self.bar[start : start + _ROWS_AT_ONCE]
-            if len(ids) > self.k and np.isneginf(bar).any():
-                at = len(ids) - self.k
-                bar = np.maximum(bar, np.partition(block, at, axis=1)[:, at])
-            query, vector = np.nonzero((block >= bar[:, None]) & (block > -np.inf))
-            self._add(query + start, ids[vector], block[query, vector])
-
-    def _add(self, query: np.ndarray, ids: np.ndarray, similarity: np.ndarray) -> None:
-        if len(query) == 0:
-            return
-        rows = (query, ids, similarity)
-        if self.rows is not None:
-            rows = tuple(np.concatenate(pair) for pair in zip(self.rows, rows))
-        order = np.lexsort((rows[1], -rows[2], rows[0]))
-        query = rows[0][order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        self.rows = tuple(column[order[place < self.k]] for column in rows)
-        last = place == self.k - 1
-        self.bar[query[last]] = rows[2][order[last]]
-
-    def frame(self) -> pd.DataFrame:
-        if self.rows is None:
-            return _nothing()
-        query, ids, similarity = self.rows
-        return pd.DataFrame(
-            {
-                "query_id": _plain(self.query_ids[query]),
-                "id": _plain(ids),
-                "similarity": similarity,
-            }
-        )
-
-
-def _ids(column: pd.Series) -> np.ndarray:
-    """Keys as a sortable array; text sorts by code point, as it does in Spark."""
-    is_number = pd.api.types.is_numeric_dtype(column)
-    return column.to_numpy() if is_number else column.to_numpy(dtype=str)
-
-
-def _nothing() -> pd.DataFrame:
-    # Empty object columns convert to any key type, empty float columns do not.
-    empty = pd.Series([], dtype=object)
-    return pd.DataFrame({"query_id": empty, "id": empty, "similarity": empty})
-
-
-def _plain(ids: np.ndarray) -> pd.Series:
-    """Text keys as Python strings; pandas' own string type may not reach Arrow in one piece."""
-    return pd.Series(ids.astype(object), dtype=object) if ids.dtype.kind == "U" else pd.Series(ids)
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
-
-
-def _bytes(vectors: DataFrame, key: str) -> int:
-    """Bytes of vectors and keys, with what a row costs besides."""
-    size = F.size("vector") * 8 + F.octet_length(F.col(key).cast("string")) + 64
-    return vectors.agg(F.sum(size)).first()[0] or 0
+# Row and bucket cells counted at a time while embedding.
+_CELLS_AT_ONCE = 1 << 20
 
 
 def topk_similar(
@@ -124,8 +45,8 @@ def topk_similar(
     window picks the final ones. Both keys must be numbers or text.
 
     Query vectors measured within ``query_bytes`` go to every task and the
-    corpus is read once where it lies. More queries are cut into blocks, the
-    corpus too, and each pair of blocks is one task of bounded size.
+    corpus is read once where it lies. For more queries the corpus is stored by
+    cluster (``vector_table``), and a query visits only clusters that can hold one of its ``k``.
     """
     q = queries.select(
         F.col(query_key).alias("query_id"), F.col(query_vector or vector).alias("vector")
@@ -136,7 +57,7 @@ def topk_similar(
     kinds = dict(q.dtypes)["query_id"], dict(c.dtypes)["id"]
     schema = f"query_id {kinds[0]}, id {kinds[1]}, similarity double"
 
-    size = _bytes(q, "query_id")
+    size = vector_bytes(q, "query_id")
     if size <= query_bytes:
         local = q.toPandas()
         if local.empty:
@@ -145,7 +66,7 @@ def topk_similar(
             shared = q.sparkSession.sparkContext.broadcast(local)
 
             def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                best = _Best(shared.value["query_id"], shared.value["vector"], k, skip_self)
+                best = Best(shared.value["query_id"], shared.value["vector"], k, skip_self)
                 for batch in batches:
                     if len(batch):
                         best.show(batch["id"], batch["vector"])
@@ -153,37 +74,16 @@ def topk_similar(
 
             nearest = c.mapInPandas(search, schema)
     else:
-        nearest = _blocked(q, c, k, skip_self, ceil(size / block_bytes), ceil(_bytes(c, "id") / block_bytes), schema)
+        table = VectorTable.build(c, "id", "vector", working_folder(q.sparkSession, "vectors"), block_bytes)
+        nearest = table.search(q, k, skip_self).hits
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    return nearest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return placed(nearest, k)
 
 
-def _blocked(q, c, k, skip_self, q_blocks, c_blocks, schema) -> DataFrame:
-    """Every query block meets every corpus block in a task of its own."""
-    q_blocks, c_blocks = max(q_blocks, 1), max(c_blocks, 1)
-
-    def numbers(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
-    # The row's place counts as well: rows that share an id, or even a vector, spread over blocks.
-    place = F.monotonically_increasing_id()
-    q_block = F.pmod(F.xxhash64("query_id", place), F.lit(q_blocks))
-    c_block = F.pmod(F.xxhash64("id", place), F.lit(c_blocks))
-    # The own block first: after the multiplication every copy would have another place.
-    q_cells = q.withColumn("qb", q_block).withColumn("cb", numbers(c_blocks))
-    c_cells = c.withColumn("cb", c_block).withColumn("qb", numbers(q_blocks))
-
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return _nothing()
-        best = _Best(left["query_id"], left["vector"], k, skip_self)
-        best.show(right["id"], right["vector"])
-        return best.frame()
-
-    return (
-        q_cells.groupBy("qb", "cb").cogroup(c_cells.groupBy("qb", "cb")).applyInPandas(cell, schema)
-    )
+def placed(hits: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best hits of each query with their place; ties go to the lower id."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
+    return hits.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
 def _tokens(text: str, bigrams: bool):
@@ -235,17 +135,20 @@ def embed_terms(
 ) -> DataFrame:
     """Unit vectors of weighted bucket counts, in place of the buckets."""
     weights = np.asarray(model.weights)
+    at_once = max(1, _CELLS_AT_ONCE // max(1, len(weights)))
 
     @F.pandas_udf("array<double>")
     def unit(buckets: pd.Series) -> pd.Series:
-        def one(own) -> list[float] | None:
-            if own is None:
-                return None
-            values = np.bincount(np.asarray(own, dtype=np.int64), minlength=len(weights)) * weights
-            length = np.sqrt((values * values).sum())
-            return values / length if length else values
-
-        return buckets.map(one, na_action=None)
+        own = [None if b is None else np.asarray(b, dtype=np.int64) for b in buckets]
+        out = []
+        for start in range(0, len(own), at_once):
+            part = [np.empty(0, np.int64) if b is None else b for b in own[start : start + at_once]]
+            row = np.repeat(np.arange(len(part)), [len(b) for b in part])
+            cells = np.bincount(row * len(weights) + np.concatenate(part), minlength=len(part) * len(weights))
+            values = cells.reshape(len(part), -1) * weights
+            length = np.sqrt((values * values).sum(axis=1, keepdims=True))
+            out += list(values / np.where(length > 0, length, 1))
+        return pd.Series([None if b is None else v for b, v in zip(own, out)], dtype=object)
 
     return hashed.withColumn(out, unit(F.col(terms))).drop(terms)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 # String literals are matched first so that nothing inside them is touched.
 _LITERAL = r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\""
@@ -84,3 +85,61 @@ def aliases_used(exprs: Iterable[str], aliases: Iterable[str]) -> set[str]:
     """Aliases mentioned anywhere in the texts; a mention in any role counts as use."""
     mentioned = {name.casefold() for expr in exprs for name in names(expr)}
     return {alias for alias in aliases if alias.casefold() in mentioned}
+
+
+@dataclass(frozen=True)
+class Aggregate:
+    """An aggregate call within an expression and where it stands."""
+
+    start: int
+    end: int
+    function: str
+    argument: str
+    distinct: bool = False
+    filter: str | None = None
+
+
+_CALL = re.compile(rf"({_LITERAL}|`[^`]*`)|(?<![\w.])(count_if|count|sum|avg|min|max)\s*\(", re.I)
+_BRACKET = re.compile(rf"{_LITERAL}|`[^`]*`|[(),]")
+_FILTER = re.compile(r"\s*FILTER\s*\(\s*WHERE\b", re.I)
+
+
+def _closing(expr: str, start: int) -> int:
+    """Where the bracket opened just before ``start`` is closed."""
+    depth = 1
+    for found in _BRACKET.finditer(expr, start):
+        depth += {"(": 1, ")": -1}.get(found[0], 0)
+        if depth == 0:
+            return found.start()
+    raise ValueError(f"a bracket is not closed: {expr!r}")
+
+
+def aggregates(expr: str) -> list[Aggregate]:
+    """The calls of known aggregates in ``expr``, in order; nothing inside another call."""
+    found, at = [], 0
+    while call := _CALL.search(expr, at):
+        if call[1]:
+            at = call.end()
+            continue
+        close = _closing(expr, call.end())
+        argument, end, condition = expr[call.end() : close].strip(), close + 1, None
+        if own := _FILTER.match(expr, end):
+            last = _closing(expr, own.end())
+            condition, end = expr[own.end() : last].strip(), last + 1
+        distinct = re.match(r"DISTINCT\b\s*", argument, re.I)
+        if distinct:
+            argument = argument[distinct.end() :]
+        found.append(Aggregate(call.start(), end, call[2].lower(), argument, bool(distinct), condition))
+        at = end
+    return found
+
+
+def split_arguments(text: str) -> list[str]:
+    """The arguments of a call, cut at commas outside brackets and literals."""
+    out, depth, start = [], 0, 0
+    for found in _BRACKET.finditer(text):
+        depth += {"(": 1, ")": -1}.get(found[0], 0)
+        if found[0] == "," and depth == 0:
+            out.append(text[start : found.start()].strip())
+            start = found.end()
+    return [*out, text[start:].strip()]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forecourt.operators import retrieval, silver, text
+from forecourt.operators.vector_table import VectorTable
 from forecourt.queries.registry import query, rounded
 from forecourt.session import working_folder
 from forecourt.sources.bindings import with_tables
@@ -192,8 +193,21 @@ def vector_topk(spark, t):
     return _hits(t)
 
 
-@query(
-    "hits_with_metrics",
+def _stored_hits(spark, t, k=5):
+    """The same hits from a table stored by cluster, which skips clusters that hold none."""
+    vectors = t["embeddings"]
+    table = VectorTable.build(vectors, "vec_id", "embedding", working_folder(spark, "vectors"), block_bytes=1 << 20)
+    asked = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return retrieval.placed(table.search(asked.filter("vector IS NOT NULL"), k, skip_self=True).hits, k)
+
+
+@query("vector_topk_table", "WITH " + _TOPK_SQL + "\nSELECT * FROM hits")
+def vector_topk_table(spark, t):
+    """The five most similar vectors of every vector, from the table stored by cluster."""
+    return _stored_hits(spark, t)
+
+
+_HITS_SQL = (
     with_tables("sl_vehicles", "sl_contracts")
     + ", "
     + _TOPK_SQL
@@ -202,10 +216,11 @@ SELECT h.id, h.query_id, h.similarity, h.place, m.units, round(m.sales, 4) AS sa
 FROM hits h LEFT JOIN (
   SELECT v.vehicle_id, coalesce(c.units, 0) AS units, coalesce(c.sales, 0.0) AS sales, v.status, v.listing_price
   FROM sl_vehicles v LEFT JOIN (SELECT vehicle_id, count(*) AS units, sum(actual_price) AS sales
-    FROM sl_contracts GROUP BY 1) c ON v.vehicle_id = c.vehicle_id) m ON h.id = m.vehicle_id""",
+    FROM sl_contracts GROUP BY 1) c ON v.vehicle_id = c.vehicle_id) m ON h.id = m.vehicle_id"""
 )
-def hits_with_metrics(spark, t):
-    """Search hits together with sales and stock of the vehicle they describe."""
+
+
+def _with_metrics(hits, t):
     sold = (
         t["sl_contracts"]
         .groupBy("vehicle_id")
@@ -217,7 +232,19 @@ def hits_with_metrics(spark, t):
         .join(sold, "vehicle_id", "left")
         .na.fill(0, ["units", "sales"])
     )
-    return rounded(retrieval.join_hits_to_metrics(_hits(t), metrics, "vehicle_id"), {"sales": 4})
+    return rounded(retrieval.join_hits_to_metrics(hits, metrics, "vehicle_id"), {"sales": 4})
+
+
+@query("hits_with_metrics", _HITS_SQL)
+def hits_with_metrics(spark, t):
+    """Search hits together with sales and stock of the vehicle they describe."""
+    return _with_metrics(_hits(t), t)
+
+
+@query("hits_with_metrics_table", _HITS_SQL)
+def hits_with_metrics_table(spark, t):
+    """The same from the table stored by cluster."""
+    return _with_metrics(_stored_hits(spark, t), t)
 
 
 _EMBED_SQL = """buckets AS (

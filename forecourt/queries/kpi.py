@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from forecourt.operators import gold
 from forecourt.plans.spec import Measure
+from forecourt.plans.summaries import build_summary, query_from_summaries
 from forecourt.plans.views import KPI_CUSTOMER, KPI_INQUIRY, KPI_INVENTORY, KPI_SALES
 from forecourt.queries.registry import TODAY, query, rounded
+from forecourt.session import working_folder
 from forecourt.sources.bindings import AS_OF, with_tables
 
 _SALES = with_tables("sl_contracts", "sl_stores", "sl_vehicles")
@@ -398,3 +400,24 @@ def customer(spark, t):
     tables = {"gd_customer_rm_segment": segments, "sl_customers": t["sl_customers"]}
     out = KPI_CUSTOMER.query(spark, ["RMセグメント", "市場区分"], ["顧客数", "平均購入単価"], tables=tables)
     return rounded(out, {"平均購入単価": MEAN})
+
+
+@query(
+    "kpi_from_summary",
+    with_tables("sl_contracts", "sl_stores")
+    + """
+SELECT CAST(date_trunc('month', c.contract_date) AS DATE) AS "契約年月", s.format AS "店舗業態",
+  count(*) AS "契約件数", round(sum(c.gross_profit) / nullif(sum(c.actual_price), 0), 6) AS "加重平均粗利率",
+  round(avg(c.actual_price), 2) AS "平均販売価格", count(DISTINCT c.customer_id) AS "ユニーク顧客数"
+FROM sl_contracts c LEFT JOIN sl_stores s ON c.store_id = s.store_id
+WHERE c.contract_date >= DATE '1997-01-01' GROUP BY 1, 2""",
+)
+def from_summary(spark, t):
+    """Months and distinct customers from a summary stored by day, store format and customer."""
+    measures = ["契約件数", "加重平均粗利率", "平均販売価格", "ユニーク顧客数"]
+    path = f"{working_folder(spark, 'summaries')}/sales_by_day"
+    daily = build_summary(spark, KPI_SALES, path, ["契約日", "店舗業態"], measures, tables=t)
+    out = query_from_summaries(
+        spark, KPI_SALES, [daily], ["契約年月", "店舗業態"], measures, where="`契約年月` >= DATE'1997-01-01'", tables=t
+    )
+    return rounded(out, {"加重平均粗利率": RATIO, "平均販売価格": MEAN})
