@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from forecourt.operators import refresh, silver
+from forecourt.operators import deltas, refresh, silver
+from forecourt.operators.gold import ratio
 from forecourt.queries.registry import query, rounded
 from forecourt.session import working_folder
 from forecourt.sources import files
@@ -309,3 +310,53 @@ def incremental_store(spark, t):
     """The store mart refreshed in the same way."""
     summary = _loaded_thrice(spark, t, "refresh-store", mart=refresh.store_summary, name="store_sales")
     return rounded(summary, {"sales": 4, "gross_profit": 4})
+
+
+MONTHLY_BY_DELTAS = deltas.SignedMart(
+    "monthly_by_deltas",
+    sums={"sales": "actual_price", "gross_profit": "gross_profit"},
+    distinct={"customers": "customer_id"},
+    finish=lambda mart: mart.withColumn("margin_rate", ratio("gross_profit", "sales")),
+)
+STORES_BY_DELTAS = deltas.SignedMart(
+    "stores_by_deltas", ("store_id",), sums={"sales": "actual_price", "gross_profit": "gross_profit"}
+)
+
+
+def _delivered_thrice(spark, t, purpose, mart):
+    """The deliveries of ``_loaded_thrice``, each as a signed delta."""
+    base = working_folder(spark, purpose)
+    contracts, late = t["sl_contracts"], F.coalesce(F.expr(_LATE), F.lit(False))
+    wrong = contracts.filter(~late).withColumn("contract_date", F.add_months("contract_date", -240))
+    for rows, batch in ((wrong, "first"), (contracts.filter(late), "second"), (contracts.filter(~late), "first")):
+        path = deltas.apply_load(spark, rows, base, batch, mart)
+    return spark.read.parquet(path)
+
+
+@query(
+    "mv_signed",
+    with_tables("sl_contracts")
+    + """
+SELECT CAST(date_trunc('month', contract_date) AS DATE) AS sales_month, count(*) AS units,
+  round(sum(actual_price), 4) AS sales, round(sum(gross_profit), 4) AS gross_profit,
+  count(DISTINCT customer_id) AS customers,
+  round(sum(gross_profit) / nullif(sum(actual_price), 0), 6) AS margin_rate
+FROM sl_contracts GROUP BY 1""",
+)
+def signed(spark, t):
+    """The monthly summary kept up by signed deltas: a redelivery takes away what its batch had added."""
+    summary = _delivered_thrice(spark, t, "signed", MONTHLY_BY_DELTAS)
+    return rounded(summary, {"sales": 4, "gross_profit": 4, "margin_rate": 6})
+
+
+@query(
+    "mv_signed_store",
+    with_tables("sl_contracts")
+    + """
+SELECT store_id, CAST(date_trunc('month', contract_date) AS DATE) AS sales_month, count(*) AS units,
+  round(sum(actual_price), 4) AS sales, round(sum(gross_profit), 4) AS gross_profit
+FROM sl_contracts GROUP BY 1, 2""",
+)
+def signed_store(spark, t):
+    """The store mart kept up in the same way."""
+    return rounded(_delivered_thrice(spark, t, "signed-store", STORES_BY_DELTAS), {"sales": 4, "gross_profit": 4})
