@@ -76,6 +76,64 @@ def doc_chunks(spark, t):
     return text.chunk(t["documents"], "doc_id", "text", 500, 100, keep=["lang"])
 
 
+# The pages have a title and one heading; bold openings and short paragraphs are made headings below it.
+_MARKED = (("<p><b>", "<h2>"), ("<p>([^<]{1,80})</p>", r"<h3>\1</h3>"))
+_SECTIONS_SQL = (
+    "WITH RECURSIVE marked AS (SELECT page_id, regexp_replace(replace(html, '<p><b>', '<h2>'), "
+    + rf"'{_MARKED[1][0]}', '{_MARKED[1][1]}', 'g') AS html FROM pages),"
+    + _ELEMENTS_SQL.replace("FROM pages)", "FROM marked)")
+    + """,
+element AS (
+  SELECT page_id, i AS pos, elements[i].kind AS kind, elements[i].text AS text,
+    CASE WHEN elements[i].kind = 'title' THEN 0 WHEN elements[i].kind <> 'p' THEN CAST(elements[i].kind[2] AS INT) END AS level
+  FROM parsed, unnest(range(1, len(elements) + 1)) AS r(i)),
+numbered AS (
+  SELECT *, CAST(count(level) OVER (PARTITION BY page_id ORDER BY pos) AS INT) AS section FROM element),
+head AS (
+  SELECT h.page_id, h.pos, h.level, h.section, h.text, max(g.pos) AS above
+  FROM numbered h LEFT JOIN numbered g ON g.page_id = h.page_id AND g.pos < h.pos AND g.level < h.level
+  WHERE h.level IS NOT NULL GROUP BY ALL),
+tree AS (
+  SELECT page_id, pos, level, section, text, CAST(NULL AS INT) AS parent, text AS path FROM head WHERE above IS NULL
+  UNION ALL
+  SELECT h.page_id, h.pos, h.level, h.section, h.text, t.section, t.path || ' > ' || h.text
+  FROM head h JOIN tree t ON t.page_id = h.page_id AND t.pos = h.above),
+body AS (
+  SELECT page_id, section, CAST(count(*) FILTER (level IS NULL) AS INT) AS n_paragraphs,
+    coalesce(string_agg(text, chr(10) ORDER BY pos) FILTER (level IS NULL), '') AS body
+  FROM numbered GROUP BY 1, 2),
+sections AS (
+  SELECT b.page_id, b.section, t.level, t.text AS heading, t.parent, coalesce(t.path, '') AS path, n_paragraphs, body
+  FROM body b LEFT JOIN tree t ON t.page_id = b.page_id AND t.section = b.section)"""
+)
+
+
+def _marked(t):
+    html = F.replace("html", F.lit(_MARKED[0][0]), F.lit(_MARKED[0][1]))
+    return t["pages"].select("page_id", F.regexp_replace(html, _MARKED[1][0], "<h3>$1</h3>").alias("html"))
+
+
+@query("doc_sections", _SECTIONS_SQL + "\nSELECT * FROM sections")
+def doc_sections(spark, t):
+    """The tree of sections of every page, with the headings above each."""
+    return text.sections(_marked(t), "page_id")
+
+
+@query(
+    "section_chunks",
+    _SECTIONS_SQL
+    + """
+SELECT page_id, section, path, CAST(i AS INT) AS pos, page_id || '-' || section || '-' || i AS chunk_id,
+  CASE WHEN path = '' THEN '' ELSE path || chr(10) END || substring(body, CAST(i * 160 + 1 AS INT), 200) AS chunk_to_embed,
+  CAST(length(substring(body, CAST(i * 160 + 1 AS INT), 200)) AS INT) AS n_chars
+FROM sections, unnest(range(0, CAST(floor((greatest(length(body) - 40, 1) - 1) / 160) AS BIGINT) + 1)) AS r(i)
+WHERE length(body) > 0""",
+)
+def section_chunks(spark, t):
+    """Chunks of 200 characters that do not cross a section and carry its heading path."""
+    return text.section_chunks(_marked(t), "page_id", size=200, overlap=40)
+
+
 # Function words that occur in the notes; they tell the language, which stands for the topic.
 NOTE_TOPICS = {
     "english": ("the", "of", "and", "with", "from"),

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from conftest import final_plan, rows
 from forecourt.operators import text
 
 PAGE = """<html><head><title> A &amp; B </title><style>p{x}</style><script>var t="<p>no</p>";</script></head>
@@ -101,3 +103,39 @@ def test_profile_takes_the_latest_value_of_each_attribute(spark):
     rules = {"income": r"年収(\d+)万円", "family": r"家族(\d+)人"}
     out = text.extract_profile(notes, "customer", "n", "memo", rules)
     assert rows(out) == [(1, "600", "5"), (2, None, None)]
+
+
+def tree_of(elements):
+    """Sections by a stack: (section, level, heading, parent, path, paragraphs)."""
+    out, stack = {}, []
+    for kind, value in elements:
+        if kind != "p":
+            level = 0 if kind == "title" else int(kind[1])
+            while stack and stack[-1][0] >= level:
+                stack.pop()
+            n = max(out, default=0) + 1
+            stack.append((level, value, n))
+            out[n] = (level, value, stack[-2][2] if len(stack) > 1 else None, " > ".join(v for _, v, _ in stack), [])
+        else:
+            out.setdefault(stack[-1][2] if stack else 0, (None, None, None, "", []))[4].append(value)
+    return [(n, *parts[:4], len(parts[4]), "\n".join(parts[4])) for n, parts in out.items()]
+
+
+def test_sections_form_a_tree(spark):
+    rng = random.Random(11)
+    kinds = ["title", "h1", "h2", "h3", "h4", "h5", "h6", "p", "p", "p"]
+    pages = [[(rng.choice(kinds), f"e{i}") for i in range(rng.randint(0, 40))] for _ in range(30)]
+    html = [(i, "".join(f"<{k}>{v}</{k}>" for k, v in page)) for i, page in enumerate(pages)] + [(98, ""), (99, None)]
+    got = text.sections(spark.createDataFrame(html, "page_id int, html string"), "page_id")
+    assert rows(got) == [(i, *section) for i, page in enumerate(pages) for section in tree_of(page)]
+    assert final_plan(got).count("Exchange") <= 2 * 2  # one shuffle, shown in the final and the first plan
+
+
+def test_section_chunks_stay_within_their_section(spark):
+    body = "<title>T</title><p>abcdefgh</p><h1>A</h1><h2>B</h2><p>12345678</p><p>9</p><h1>C</h1>"
+    pages = spark.createDataFrame([(1, body), (2, "<p>loose")], "page_id int, html string")
+    got = text.section_chunks(pages, "page_id", size=6, overlap=2)
+    assert rows(got.select("chunk_id", "chunk_to_embed", "n_chars")) == [
+        ("1-1-0", "T\nabcdef", 6), ("1-1-1", "T\nefgh", 4), ("1-3-0", "T > A > B\n123456", 6),
+        ("1-3-1", "T > A > B\n5678\n9", 6), ("2-0-0", "loose", 5),
+    ]
