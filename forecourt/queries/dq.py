@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators import quality
-from forecourt.queries.registry import query
+from forecourt.queries import documents, marts
+from forecourt.queries.registry import ORACLES, query
 from forecourt.sources.bindings import with_tables
 
 _VEHICLES = with_tables("sl_vehicles")
@@ -204,6 +205,81 @@ def fk_orphans(spark, t):
     return reduce(DataFrame.unionByName, found)
 
 
+# Gold and enriched tables: the query that makes each, and its key.
+DERIVED = {
+    "gd_store_monthly_sales": ("gold_store_monthly", marts.store_monthly, ("store_id", "sales_month")),
+    "gd_vehicle_inventory": ("gold_inventory", marts.inventory, ("body_type", "status")),
+    "gd_market_linked_margin": ("gold_market_margin", marts.market_margin, ("month", "category")),
+    "gd_contract_margin_score": ("gold_margin_score", marts.margin_score, ("contract_id",)),
+    "gd_customer_rm_segment": ("gold_rm_segment", marts.rm_segment, ("customer_id",)),
+    "sl_inquiries_enriched": ("silver_inquiries_enriched", documents.inquiries_enriched, ("inquiry_id",)),
+    "sl_customers_enriched": ("silver_customers_enriched", documents.customers_enriched, ("customer_id",)),
+    "sl_pages_parsed": ("doc_outline", documents.doc_outline, ("page_id",)),
+}
+# Of the margin score, vehicle and customer are reached by its contract.
+DERIVED_REFERENCES = (
+    ("gd_store_monthly_sales", "store_id", "sl_stores", "store_id"),
+    ("gd_contract_margin_score", "contract_id", "sl_contracts", "contract_id"),
+    ("gd_contract_margin_score", "store_id", "sl_stores", "store_id"),
+    ("gd_customer_rm_segment", "customer_id", "sl_customers", "customer_id"),
+    ("sl_inquiries_enriched", "customer_id", "sl_customers", "customer_id"),
+    ("sl_inquiries_enriched", "store_id", "sl_stores", "store_id"),
+    ("sl_inquiries_enriched", "vehicle_id", "sl_vehicles", "vehicle_id"),
+    ("sl_customers_enriched", "customer_id", "sl_customers", "customer_id"),
+)
+
+
+def _derived_sql(*parents: str) -> str:
+    made = ",\n".join(f"{name} AS ({ORACLES[source]})" for name, (source, _, _) in DERIVED.items())
+    return f"{with_tables(*parents)},\n{made}\n" if parents else f"WITH {made}\n"
+
+
+@query(
+    "dq_derived_primary_keys",
+    _derived_sql()
+    + "\nUNION ALL ".join(
+        f"SELECT '{name} ({', '.join(keys)})' AS primary_key, count(*) AS bad_keys, "
+        f"CAST(coalesce(sum(n), 0) AS BIGINT) AS bad_rows FROM (SELECT {', '.join(keys)}, count(*) AS n "
+        f"FROM {name} GROUP BY {', '.join(keys)}) WHERE n > 1 OR {' OR '.join(f'{key} IS NULL' for key in keys)}"
+        for name, (_, _, keys) in DERIVED.items()
+    ),
+)
+def derived_primary_keys(spark, t):
+    """Repeated or missing key values of the gold and the enriched tables."""
+    found = [
+        quality.check_pk(make(spark, t), keys).agg(
+            F.lit(f"{name} ({', '.join(keys)})").alias("primary_key"),
+            F.count(F.lit(1)).alias("bad_keys"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("bad_rows"),
+        )
+        for name, (_, make, keys) in DERIVED.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "dq_derived_fk_orphans",
+    _derived_sql("sl_stores", "sl_vehicles", "sl_customers", "sl_contracts")
+    + "\nUNION ALL ".join(
+        f"SELECT '{child}.{column} > {parent}.{key}' AS foreign_key, count(DISTINCT {column}) AS orphan_values, "
+        f"count(*) AS orphan_rows FROM {child} c WHERE {column} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
+        for child, column, parent, key in DERIVED_REFERENCES
+    ),
+)
+def derived_fk_orphans(spark, t):
+    """Values and rows without a parent, for each reference of the gold and the enriched tables."""
+    found = [
+        quality.check_fk(DERIVED[child][1](spark, t), column, t[parent], key).agg(
+            F.lit(f"{child}.{column} > {parent}.{key}").alias("foreign_key"),
+            F.count(F.lit(1)).alias("orphan_values"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+        )
+        for child, column, parent, key in DERIVED_REFERENCES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query(
     "dq_metrics",
     _VEHICLES
