@@ -215,6 +215,8 @@ def full_texts() -> dict[str, str]:
     return {f"{name.removesuffix('.txt')}-text": file.read_text(encoding="utf-8").strip() for name, file in found if name.endswith(".txt")}
 
 
+BRIDGE = 2  # lines without anything of a licence that a notice may have within, such as a page's footer
+WIDER = 1.1  # so many times the bigrams of a part make a notice the whole of it
 _WORD = re.compile(r"\w+")
 NOTICES = "array<struct<license_id: string, dice: double, start: bigint, end: bigint>>"
 _ARROW_NOTICES = pa.list_(
@@ -266,7 +268,7 @@ def joined(weights: list[float], drop: float) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def uncovered(run: list[tuple[int, int, set, int]], kept: list[tuple[str, float, int, int]]) -> Iterator[list]:
+def uncovered(run: list[tuple[int, int, set, int, bool]], kept: list[tuple[str, float, int, int]]) -> Iterator[list]:
     """The stretches of a run's lines that no notice touches, if one touches the run; ``kept`` is in order."""
     starts = [a for _, _, a, _ in kept]
     part: list = []
@@ -309,8 +311,10 @@ class Matcher:
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(template, Dice coefficient, start, end) of the notices in a text, by start."""
         units: list[tuple[int, int, set]] = []
-        runs: list[list[tuple[int, int, set, int]]] = []
-        run: list[tuple[int, int, set, int]] = []  # start, end, bigrams and paragraph of lines that resemble licences
+        runs: list[list[tuple[int, int, set, int, bool]]] = []
+        # Start, end, bigrams and paragraph of lines that resemble licences, and whether a line is foreign to them.
+        run: list[tuple[int, int, set, int, bool]] = []
+        foreign: list[tuple[int, int, set, int, bool]] = []  # such lines after the run, part of it if it goes on
         whole: set | None = set()
         at, paragraph, before, n_known = 0, 0, "", 0
         for line in text.split("\n"):
@@ -330,11 +334,14 @@ class Matcher:
             if not words:
                 paragraph += 1
             elif 2 * known >= len(grams):  # a single word goes with the lines around it
-                run.append((at, end, grams | {(before, words[0])} if run else grams, paragraph))
+                run += [*foreign, (at, end, grams | {(before, words[0])} if run else grams, paragraph, False)]
+                foreign, before = [], words[-1]
+            elif run and len(foreign) < BRIDGE:
+                foreign.append((at, end, grams | {(before, words[0])}, paragraph, True))
                 before = words[-1]
             elif run:
                 runs.append(run)
-                run = []
+                run, foreign = [], []
             at = end + 1
         runs.append(run)
         if whole and n_known * (2 - self.threshold) >= len(whole) * self.threshold:
@@ -347,12 +354,13 @@ class Matcher:
             units, runs = [], [part for own in runs for part in uncovered(own, kept)] if len(kept) > n else []
         return kept
 
-    def of_run(self, text: str, run: list[tuple[int, int, set, int]]) -> list[tuple[int, int, set]]:
+    def of_run(self, text: str, run: list[tuple[int, int, set, int, bool]]) -> list[tuple[int, int, set]]:
         """The run, its paragraphs, and the stretches of its lines that belong to one template; of two lines at least."""
         if len(run) < 2:
             return []
         starts = [i for i in range(len(run)) if i == 0 or run[i][3] != run[i - 1][3]]
-        stretches = {(0, len(run)), *zip(starts, [*starts[1:], len(run)], strict=True)}
+        own = gapless([-1.0 if line[4] else 1.0 for line in run])
+        stretches = {(0, len(run)), *zip(starts, [*starts[1:], len(run)], strict=True), *own}
         for name, common in self.shared(run).items():
             # A unit with n bigrams, c of them the template's, matches if 2 * c - t * n is at least t * template.
             weights = [2 * common.get(i, 0) - self.threshold * len(line[2]) for i, line in enumerate(run)]
@@ -362,7 +370,7 @@ class Matcher:
                     stretches.add((a, b))
         return [(run[a][0], run[b - 1][1], bigrams(text[run[a][0] : run[b - 1][1]])) for a, b in sorted(stretches) if b - a > 1]
 
-    def shared(self, run: list[tuple[int, int, set, int]]) -> dict[str, dict[int, int]]:
+    def shared(self, run: list[tuple[int, int, set, int, bool]]) -> dict[str, dict[int, int]]:
         """For each template, how many bigrams the lines have in common with it; only those with enough in all."""
         out: dict[str, dict[int, int]] = {}
         for i, line in enumerate(run):
@@ -372,14 +380,23 @@ class Matcher:
         return {name: own for name, own in out.items() if sum(own.values()) * (2 - t) >= len(self.sets[name]) * t}
 
     def chosen(self, text: str, units: list[tuple[int, int, set]], kept: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
-        """``kept`` and the notices among the units beside them, by start."""
-        found = []
+        """``kept`` and the notices among the units beside them, by start.
+
+        A notice within a larger one, which has clearly more of its template, is a part of that; otherwise the best comes first.
+        """
+        found: list[tuple[float, int, int, int, str]] = []
+        common: list[float] = []
         for a, b, grams in units:
             if match := self.best(grams):
                 a += len(text[a:b]) - len(text[a:b].lstrip())
                 found.append((-match[1], a - b, a, a + len(text[a:b].rstrip()), match[0]))
-        kept = [*kept]
-        for dice, _, a, b, name in sorted(found):
+                common.append(match[1] * (len(grams) + len(self.sets[match[0]])))
+        kept, wider = [*kept], sorted(zip(common, found, strict=True), key=lambda hit: -hit[0])
+        parts = set()
+        for i, (n, (_, _, a, b, _)) in enumerate(wider):
+            if any(m >= WIDER * n and x <= a and b <= y for m, (_, _, x, y, _) in wider[:i]):
+                parts.add((a, b))
+        for dice, _, a, b, name in sorted(hit for hit in found if hit[2:4] not in parts):
             if all(b <= x or y <= a for _, _, x, y in kept):
                 kept.append((name, round(-dice, 6), a, b))
         return sorted(kept, key=lambda hit: hit[2])

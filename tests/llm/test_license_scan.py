@@ -63,6 +63,21 @@ def test_adjoining_wrapped_notices():
             assert got == want
 
 
+def test_foreign_lines_within_a_notice():
+    """A footer in the middle of a wrapped notice neither ends it nor makes its parts another licence."""
+    matcher = Matcher(TEMPLATES, THRESHOLD)
+    for name in ("Unlicense", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0-header", "MIT-text", "Zlib", "ISC-text"):
+        lines = wrapped(TEMPLATES[name]).split("\n")
+        for footer in (["Page seven"], ["", "Page seven", ""], ["Chapter two", "7"]):
+            for at in range(1, len(lines)):
+                body = "\n".join([*lines[:at], *footer, *lines[at:]])
+                want = dice(bigrams(body), bigrams(TEMPLATES[name]))
+                got = matcher.scan(f"Some prose here.\nMore of it.\n{body}\nMore prose there.")
+                if want >= THRESHOLD:
+                    # Beside an edge the footer and what is beyond it may be left out, if that is more like the template.
+                    assert [n for n, *_ in got] == [name] and got[0][1] >= want - 1e-6, (name, at, footer, got)
+
+
 def test_common_licences_and_full_texts_are_found(spark):
     texts = {**full_texts(), **{n: wrapped(TEMPLATES[n]) for n in ("BSD-2-Clause", "BSD-3-Clause", "Unlicense", "MIT-text", "MPL-2.0-header")}}
     assert {"Apache-2.0-text", "GPL-3.0-text", "LGPL-2.1-text", "MPL-2.0-text", "CC0-1.0-text"} <= set(texts)
