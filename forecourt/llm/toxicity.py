@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -43,6 +44,7 @@ QUOTED = 0.4  # what a hit within quotation marks counts
 ONE_EDIT, TWO_EDITS = 5, 10  # letters of a token from which so many edits are allowed
 DISCOUNT = (1.0, 0.7, 0.5)  # what a hit counts by its edits
 CACHED = 1 << 18  # tokens a worker remembers
+COUNTED = 1 << 18  # words that a task adds up before it hands them on
 
 _TOKEN = re.compile(r"[^\W_](?:[^\W_]|[@$])*")
 _LETTERS = str.maketrans("013457@$", "oieastas")
@@ -231,9 +233,33 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return found.groupBy("text").agg(F.max("toxic").alias("toxic")), sizes
 
 
-def class_counts(words: DataFrame) -> DataFrame:
-    """(word, toxic) pairs as rows of word, number of toxic and of clean ones."""
-    return words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+def class_counts(rows: DataFrame, words) -> DataFrame:
+    """How many toxic and clean rows have each word of ``words(text, toxic)``: ``word``, ``t``, ``c``.
+
+    A task adds up its own rows first, and hands on what it has whenever that is ``COUNTED`` words.
+    """
+    types = pa.schema([("word", pa.string()), ("t", pa.int64()), ("c", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter(), Counter()  # clean, toxic
+
+        def added_up() -> pa.RecordBatch:
+            clean, toxic = counts
+            every = [*(clean.keys() | toxic.keys())]
+            out = pa.RecordBatch.from_pydict({"word": every, "t": [toxic[w] for w in every], "c": [clean[w] for w in every]}, types)
+            clean.clear()
+            toxic.clear()
+            return out
+
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                counts[toxic].update(words(text, toxic))
+                if len(counts[0]) + len(counts[1]) >= COUNTED:
+                    yield added_up()
+        yield added_up()
+
+    parts = rows.select("text", "toxic").mapInArrow(run, "word string, t bigint, c bigint")
+    return parts.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
 
 
 def telling(counts: DataFrame, all_toxic: int, all_clean: int, most: int) -> list[tuple[str, float]]:
@@ -276,10 +302,9 @@ def _mapped(rows: DataFrame, function, schema: str) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(run, schema)
 
 
-def _candidates(text: str, toxic: int) -> Iterator[tuple[str, int]]:
+def _candidates(text: str, toxic: int) -> set[str]:
     words = {plain(w) for w in tokens(text)}
-    stems = {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
-    return ((w, toxic) for w in words | stems)
+    return words | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
 
 
 @dataclass
@@ -316,23 +341,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not seen.get(0) or not seen.get(1):
         rate = min(max(seen.get(1, 0.0) / sum(seen.values()), 1e-6), 1 - 1e-6) if seen else 0.5
         return Model(Lexicon({}), np.zeros(N_FEATURES), np.ones(N_FEATURES), np.array([math.log(rate / (1 - rate))] + [0.0] * N_FEATURES))
-    pairs = "word string, toxic int"
-    best = telling(class_counts(_mapped(rows, _candidates, pairs)), seen[1], seen[0], 20 * LEXICON)
+    best = telling(class_counts(rows, _candidates), seen[1], seen[0], 20 * LEXICON)
     lexicon = Lexicon(chosen_terms(best, LEXICON))
 
-    def near_misses(text: str, toxic: int) -> Iterator[tuple[str, int]]:
-        if not toxic:
-            for word in {plain(w) for w in tokens(text)}:
-                hit = lexicon.hit(word)
-                if hit and hit[2]:
-                    yield word, toxic
+    def near_misses(text: str, toxic: int) -> set[str]:
+        words = set() if toxic else {plain(w) for w in tokens(text)}
+        return {w for w in words if (hit := lexicon.hit(w)) and hit[2]}
 
-    def around(text: str, toxic: int) -> Iterator[tuple[str, int]]:
-        return ((w, 1 - toxic) for w in {w for *_, words in lexicon.hits(text)[1] for w in words})
+    def around(text: str, toxic: int) -> set[str]:
+        return {w for *_, words in lexicon.hits(text)[1] for w in words}
 
-    known = _mapped(rows, near_misses, pairs).groupBy("word").count().orderBy(F.desc("count"), "word").limit(100 * LEXICON)
+    known = class_counts(rows, near_misses).orderBy(F.desc("c"), "word").limit(100 * LEXICON)
     lexicon = Lexicon(lexicon.terms, {}, frozenset(row.word for row in known.collect()))
-    clean_hits = class_counts(_mapped(rows, around, pairs))
+    clean_hits = class_counts(rows, around).select("word", F.col("c").alias("t"), F.col("t").alias("c"))
     cues = telling(clean_hits, seen[0], seen[1], CUES)
     lexicon = Lexicon(lexicon.terms, {w: -min(odds, 4.0) for w, odds in cues}, lexicon.known)
     columns = [f"f{i}" for i in range(N_FEATURES)]
