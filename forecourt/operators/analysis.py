@@ -544,3 +544,39 @@ def trend(tables: Tables) -> DataFrame:
         (F.col("sales") / F.nullif(_month_before("sales", "body_type"), F.lit(0.0)) - 1).alias("change"),
         F.avg("sales").over(three).alias("three_month_mean"),
     )
+
+
+def seasonal_forecast(
+    monthly: DataFrame, group: str, value: str, end: dt.date, horizon: int = 3, holdout: int = 3
+) -> DataFrame:
+    """The next ``horizon`` months of each group from ``end`` on: group, month, forecast, backtest_mae, n_months.
+
+    ``monthly`` has one row per group and month (its column ``month``, a first day); months before ``end`` are known, a month
+    without a row counts as 0 from the group's first one on. A forecast is a straight line through the known months plus the mean
+    distance of its calendar month from that line (0 if never seen; the mean value where one month is known). ``backtest_mae`` is
+    the mean absolute error over the last ``holdout`` known months when only those before them are used; NULL without such.
+
+    Windows run over the months of one group, which are few.
+    """
+    known = monthly.filter(F.col("month") < F.lit(end)).select(F.col(group), "month", F.col(value).cast("double").alias("_value"))
+    first = known.groupBy(group).agg(F.min("month").alias("_first"))
+    until = F.add_months(F.lit(end), horizon - 1)
+    # Every month of the calendar, empty beside the known ones, so that no join has to match groups that are NULL.
+    spine = first.select(group, F.explode(F.sequence("_first", until, F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    empty = spine.withColumn("_value", F.lit(None).cast("double"))
+    rows = known.unionByName(empty).groupBy(group, "month").agg(F.sum("_value").alias("_value"))
+    of_group = Window.partitionBy(group)
+    rows = rows.withColumn("_at", F.months_between("month", F.min("month").over(of_group)))
+    past = F.col("month") < F.lit(end)
+    rows = rows.withColumn("_value", F.when(past, F.coalesce("_value", F.lit(0.0))))
+    rows = rows.withColumn("_before", F.when(F.col("month") < F.add_months(F.lit(end), -holdout), F.col("_value")))
+    of_season = Window.partitionBy(group, F.month("month"))
+    for seen, out in (("_value", "forecast"), ("_before", "_back")):
+        level = F.coalesce(F.regr_intercept(seen, "_at").over(of_group), F.avg(seen).over(of_group))
+        rise = F.coalesce(F.regr_slope(seen, "_at").over(of_group), F.lit(0.0))
+        rows = rows.withColumn("_line", level + rise * F.col("_at"))
+        season = F.avg(F.col(seen) - F.col("_line")).over(of_season)
+        rows = rows.withColumn(out, F.col("_line") + F.coalesce(season, F.lit(0.0)))
+    missed = F.when(F.col("_before").isNull(), F.abs(F.col("_value") - F.col("_back")))
+    rows = rows.withColumns({"backtest_mae": F.avg(missed).over(of_group), "n_months": F.count("_value").over(of_group)})
+    return rows.filter(~past).select(group, "month", "forecast", "backtest_mae", "n_months")

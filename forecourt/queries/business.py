@@ -336,3 +336,40 @@ FROM sales s JOIN sales b ON s.body_type IS NOT DISTINCT FROM b.body_type
 def trend(spark, t):
     """Monthly trend per body type."""
     return rounded(analysis.trend(t), {"change": 6, "three_month_mean": 6})
+
+
+def _line_sql(seen: str, out: str, source: str) -> str:
+    """``source`` with the line through ``seen`` and the mean distance of the calendar month from it, as ``out``."""
+    return f"""SELECT * EXCLUDE (line), line + coalesce(avg({seen} - line) OVER (PARTITION BY category, month(month)), 0) AS {out}
+  FROM (SELECT *, coalesce(regr_intercept({seen}, idx) OVER g, avg({seen}) OVER g) + coalesce(regr_slope({seen}, idx) OVER g, 0) * idx AS line
+    FROM {source} WINDOW g AS (PARTITION BY category))"""
+
+
+@query(
+    "q_forecast",
+    with_tables("sl_contracts", "sl_vehicles")
+    + f""",
+known AS (
+  SELECT v.body_type AS category, CAST(date_trunc('month', c.contract_date) AS DATE) AS month, sum(c.actual_price) AS sales
+  FROM sl_contracts c LEFT JOIN sl_vehicles v ON c.vehicle_id = v.vehicle_id WHERE c.contract_date < {TODAY} GROUP BY 1, 2),
+spine AS (
+  SELECT category, CAST(unnest(generate_series(min(month), {TODAY} + INTERVAL 2 MONTH, INTERVAL 1 MONTH)) AS DATE) AS month
+  FROM known GROUP BY category),
+series AS (
+  SELECT s.category, s.month, CAST(datediff('month', min(s.month) OVER (PARTITION BY s.category), s.month) AS DOUBLE) AS idx,
+    CASE WHEN s.month < {TODAY} THEN coalesce(k.sales, 0) END AS seen,
+    CASE WHEN s.month < {TODAY} - INTERVAL 3 MONTH THEN coalesce(k.sales, 0) END AS early
+  FROM spine s LEFT JOIN known k ON k.category IS NOT DISTINCT FROM s.category AND k.month = s.month),
+ahead AS ({_line_sql("seen", "forecast", "series")}),
+back AS ({_line_sql("early", "back", "ahead")})
+SELECT category, month, round(forecast, 1) AS forecast, round(backtest_mae, 1) AS backtest_mae, n_months
+FROM (SELECT *, avg(CASE WHEN early IS NULL THEN abs(seen - back) END) OVER (PARTITION BY category) AS backtest_mae,
+  count(seen) OVER (PARTITION BY category) AS n_months FROM back)
+WHERE month >= {TODAY}""",
+)
+def forecast(spark, t):
+    """Sales of the next three months by category, with the error that the same forecast made on the last three."""
+    sales = gold.sales_by_vehicle_attribute(
+        t["sl_contracts"], t["sl_vehicles"], "body_type", gold.month_of("contract_date").alias("month")
+    ).withColumnRenamed("body_type", "category")
+    return rounded(analysis.seasonal_forecast(sales, "category", "sales", AS_OF), {"forecast": 1, "backtest_mae": 1})

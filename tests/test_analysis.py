@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +209,36 @@ def test_amounts_of_other_periods_are_dropped_before_they_are_added_up(spark, sm
     assert text.index("LeftSemi") and "GreaterThanOrEqual(o_orderdate," in text
     plain = {name: t[name] for name in ("sl_contracts", "sl_stores", "sl_vehicles")}
     assert rows(out) == rows(fn(plain, AS_OF)) and not out.isEmpty()
+
+
+def test_forecast_is_line_plus_season(spark):
+    """Against least squares by hand: gaps count as 0, later rows are unknown, one month and a NULL group are no trouble."""
+    rng, end = np.random.default_rng(4), dt.date(2001, 5, 1)
+    month = lambda i: dt.date(1999 + (i // 12), i % 12 + 1, 1)
+    data = [("a", month(i), float(rng.integers(1, 99))) for i in range(32) if i not in (5, 6)]
+    data += [(None, month(i), 10.0 + 2 * i) for i in range(20, 28)] + [("one", month(27), 7.0)]
+    got = analysis.seasonal_forecast(
+        spark.createDataFrame(data, "category string, month date, sales double"), "category", "sales", end, 2, 3
+    )
+    want = []
+    for group in ("a", None, "one"):
+        own = {m: v for g, m, v in data if g == group and m < end}
+        months = [month(i) for i in range(30) if month(i) >= min(own)]
+        at, y = np.arange(len(months)), np.array([own.get(m, 0.0) for m in months])
+        n = sum(m < end for m in months)
+
+        def fitted(k):
+            rise, level = np.polyfit(at[:k], y[:k], 1) if k > 1 else (0.0, y[:k].mean() if k else np.nan)
+            line = level + rise * at
+            return [
+                x + (np.mean(near) if (near := [y[j] - line[j] for j in range(k) if months[j].month == months[i].month]) else 0.0)
+                for i, x in enumerate(line)
+            ]
+
+        back = fitted(n - 3) if n > 3 else None
+        mae = np.mean([abs(y[i] - back[i]) for i in range(n - 3, n)]) if back else None
+        want += [(group, months[i], round(fitted(n)[i], 6), None if mae is None else round(float(mae), 6), n) for i in range(n, len(months))]
+    out = got.select("category", "month", F.round("forecast", 6), F.round("backtest_mae", 6), "n_months")
+    assert sorted(map(str, out.collect())) == sorted(map(str, spark.createDataFrame(
+        [(g, m, float(f), e, n) for g, m, f, e, n in want], out.schema).collect()))
+
