@@ -151,7 +151,7 @@ def test_top_k_needs_no_full_sort(spark, small):
 
 WRITING = {
     "ingest_incremental", "ingest_audit", "ingest_master", "landing_daily_counts", "medallion_gold", "dq_stream_metrics",
-    "mv_incremental", "mv_incremental_store", "chunk_topk", "pipeline_gold",
+    "mv_incremental", "mv_incremental_store", "mv_signed", "mv_signed_store", "chunk_topk", "pipeline_gold",
 }
 
 
