@@ -89,3 +89,31 @@ def test_copies_of_one_row_and_text_keys(spark):
     table = VectorTable.build(df, "id", "v", working_folder(spark, "copies"), block_bytes=400)
     found = retrieval.placed(table.search(asked(df.filter("id = 'é'")), 2).hits, 2)
     assert rows(found) == [("é", "é", 4.0, 1), ("é", "a", 2.0, 2)]
+
+
+def _spread(n: int):
+    """Vectors in every direction, so that hardly a cluster can be skipped."""
+    rng = np.random.default_rng(11)
+    return [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(rng.normal(size=(n, 16)))]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_queries_visit_a_shelf_once_however_many_clusters_it_holds(spark, kind):
+    data = _spread(600)
+    df = spark.createDataFrame(data, f"id long, v array<{kind}>").repartition(3)
+    table = VectorTable.build(df, "id", "v", working_folder(spark, "spread"), block_bytes=1500)
+    table.cell_bytes = 20_000
+    search = table.search(asked(df), 3, True)
+    found = retrieval.placed(search.hits, 3)
+    assert sorted((q, i, s + 0.0, p) for q, i, s, p in rows(found)) == sorted(brute(data, data, 3, True))
+    # A row for each cluster would be 600 times 40 or more.
+    assert len(table.directory.cluster) >= 40 and search.visits.count() <= 600 * 8
+
+
+def test_one_large_cluster_is_not_visited_piece_by_piece(spark):
+    data = [(i, [1.0, 0.0]) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, v array<double>").repartition(3)
+    table = VectorTable.build(df, "id", "v", working_folder(spark, "same"), block_bytes=800)
+    search = table.search(asked(df), 2, True)
+    assert table.directory.pieces.sum() >= 30 and search.visits.count() <= 400 * 8
+    assert rows(retrieval.placed(search.hits, 2).filter("query_id = 7")) == [(7, 0, 1.0, 1), (7, 1, 1.0, 2)]
