@@ -59,10 +59,10 @@ def add_batch(
         raise ValueError(f"not a plain batch name: {batch!r}")
     spark, load = rows.sparkSession, uuid.uuid4().hex
     before = stored_months(spark, base, batch, name)
-    stamped = rows.withColumns(
-        {"load": F.lit(load), "batch": F.lit(batch), "sales_month": month_of(date)}
-    )
-    write_layer(stamped, base, "silver", name, ("sales_month", "batch"))
+    # The marks are the same in all rows, so they are put on after the shuffle by month.
+    dated = rows.withColumn("sales_month", month_of(date)).hint("rebalance", "sales_month")
+    stamped = dated.withColumns({"load": F.lit(load), "batch": F.lit(batch)})
+    write_layer(stamped, base, "silver", name, ("sales_month", "batch"), dealt=True)
     now = stored_months(spark, base, batch, name, load)
     return load, now, before - now
 

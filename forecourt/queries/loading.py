@@ -175,6 +175,18 @@ CONTRACT_FEED = Feed(
 )
 
 
+_LATE = "contract_date >= DATE'2001-06-01' OR (store_id = 7 AND trunc(contract_date, 'MM') = DATE'2000-03-01')"
+
+
+def _deliveries(spark, t, base):
+    """The earlier and the late contracts, worked out once and stored apart, so that a delivery reads its own rows only."""
+    path = f"{base}/delivered"
+    marked = t["sl_contracts"].withColumn("late", F.coalesce(F.expr(_LATE), F.lit(False)))
+    marked.write.partitionBy("late").parquet(path)
+    stored = spark.read.schema(marked.schema).parquet(path)
+    return stored.filter("NOT late").drop("late"), stored.filter("late").drop("late")
+
+
 @query(
     "pipeline_gold",
     with_tables("sl_contracts", "sl_vehicles", "sl_stores")
@@ -269,15 +281,12 @@ def dq_stream_metrics(spark, t):
     return counted.groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
-_LATE = "contract_date >= DATE'2001-06-01' OR (store_id = 7 AND trunc(contract_date, 'MM') = DATE'2000-03-01')"
-
-
 def _loaded_thrice(spark, t, purpose, **mart):
     """A first load with wrong months, a second load, and the first again with the right rows."""
     base = working_folder(spark, purpose)
-    contracts, late = t["sl_contracts"], F.coalesce(F.expr(_LATE), F.lit(False))
-    wrong = contracts.filter(~late).withColumn("contract_date", F.add_months("contract_date", -240))
-    for rows, batch in ((wrong, "first"), (contracts.filter(late), "second"), (contracts.filter(~late), "first")):
+    right, late = _deliveries(spark, t, base)
+    wrong = right.withColumn("contract_date", F.add_months("contract_date", -240))
+    for rows, batch in ((wrong, "first"), (late, "second"), (right, "first")):
         path = refresh.refresh_incremental(spark, rows, base, batch, **mart)
     return spark.read.parquet(path)
 
@@ -326,9 +335,9 @@ STORES_BY_DELTAS = deltas.SignedMart(
 def _delivered_thrice(spark, t, purpose, mart):
     """The deliveries of ``_loaded_thrice``, each as a signed delta."""
     base = working_folder(spark, purpose)
-    contracts, late = t["sl_contracts"], F.coalesce(F.expr(_LATE), F.lit(False))
-    wrong = contracts.filter(~late).withColumn("contract_date", F.add_months("contract_date", -240))
-    for rows, batch in ((wrong, "first"), (contracts.filter(late), "second"), (contracts.filter(~late), "first")):
+    right, late = _deliveries(spark, t, base)
+    wrong = right.withColumn("contract_date", F.add_months("contract_date", -240))
+    for rows, batch in ((wrong, "first"), (late, "second"), (right, "first")):
         path = deltas.apply_load(spark, rows, base, batch, mart)
     return spark.read.parquet(path)
 

@@ -42,14 +42,15 @@ def write_layer(
     name: str,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    dealt: bool = False,
 ) -> str:
     """Write a layer table as parquet and return its path.
 
     With ``partition_by``, ``overwrite`` replaces only the partitions present in
-    ``df``, so repeating a write gives the same table.
+    ``df``, so repeating a write gives the same table. Rows that are ``dealt`` are already gathered by partition.
     """
     path = layer_path(base, layer, name)
-    if partition_by:
+    if partition_by and not dealt:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     writer = df.write.mode(mode).partitionBy(*partition_by)
     writer.option("partitionOverwriteMode", "dynamic" if partition_by else "static").parquet(path)

@@ -195,3 +195,16 @@ def test_a_refresh_reads_the_touched_months_only(spark, tmp_path):
     assert got == {dt.date(2001, 1, 1): 2, dt.date(2001, 2, 1): 1}
     with pytest.raises(ValueError):
         refresh.refresh_incremental(spark, delta, base, "a/b")
+
+
+def test_deliveries_are_worked_out_once(spark, small, tmp_path):
+    from conftest import plan
+    from forecourt.queries.loading import _deliveries
+    from forecourt.sources.bindings import LogicalTables
+
+    tables = LogicalTables(spark, small)
+    right, late = _deliveries(spark, tables, str(tmp_path))
+    for delivery in (right, late):  # stored rows: no sums over line items, no joins with their orders
+        assert "Aggregate" not in plan(delivery) and "Join" not in plan(delivery)
+    assert rows(right.unionByName(late)) == rows(tables["sl_contracts"])
+    assert late.count() > 0 and right.count() > 0
