@@ -19,11 +19,11 @@ so repeated rows are all packed; rows without an id keep a null id.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,80 +39,74 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
 END = 1  # the id after each document
 GRID = 64  # tokens between the points where a piece may be cut
-WORDS = 1 << 18  # words that a worker remembers, about 150 bytes each
-PRE_TOKENS = 1 << 19  # and pre-tokens; a rare one costs a call of the tokenizer
+PRE_TOKENS = 1 << 18  # pre-tokens that a worker remembers, about 150 bytes each; a rare one costs a call of the tokenizer's model
+WORDS = 1 << 17  # and words of texts that the patterns below do not cover
 SLICE = 256
 
-_L, _N = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
-_PLAIN = re.compile("[!-~¡-¬®-įı-ſ‐-‧€]+")
-_PRE_TOKEN = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_L}{_N}]+")
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾", "\\t-\\r "
+_PLAIN = re.compile(f"[{_S}!-~¡-¬®-įı-ſ‐-‧€]*")
+_PRE_TOKEN = re.compile(f"[{_L}]+|'(?:s|t|re|ve|m|ll|d)|[{_N}]|[^{_S}{_L}{_N}]+")
+
+# The vocabulary writes bytes as characters: printable Latin-1 as it is, the others in order from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {byte: 256 + i for i, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+class Remembered(dict):
+    """Ids, as bytes, that ``find`` gives for a key that is not there yet; starts anew when it is full."""
+
+    def __init__(self, find: Callable, most: int):
+        super().__init__()
+        self.find, self.most = find, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        found = self[key] = self.find(key)
+        return found
 
 
 class WordIds:
-    """Ids of words between ASCII blanks, as little-endian 32-bit bytes.
+    """Ids of texts, as little-endian 32-bit bytes.
 
-    The tokenizer drops blanks and never joins what they part, so a text's ids are its words' ids in a row.
-    Rare words mostly consist of known pre-tokens with other punctuation; hence a second cache for pre-tokens.
+    The tokenizer drops blanks and encodes each pre-token by itself, so a text's ids are its pre-tokens' ids in a row.
+    Where it might cut or change characters otherwise than the patterns above, a text goes through it word by word.
     """
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
+        self.words = Remembered(self.word, WORDS)
+        self.pieces = Remembered(self.piece, PRE_TOKENS)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
-
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pre-tokens, many to a call; each ends with the only token that has the end-of-word mark."""
-        out: list[bytes] = []
-        for start in range(0, len(pieces), 512):
-            part = pieces[start : start + 512]
-            ids = np.frombuffer(self.encode([" ".join(part)])[0], "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part) and stops[-1] == len(ids):
-                out += [x.tobytes() for x in np.split(ids, stops[:-1])]
-            else:
-                out += self.encode(part)
-        return out
-
-    def learn(self, wanted: set[bytes]) -> None:
-        """Puts the ids of all wanted words into the cache."""
-        new = wanted.difference(self.words)
-        if len(self.words) + len(new) > WORDS:
-            self.words.clear()
-            new = wanted
-        parts, odd = {}, []
-        for raw in new:
-            word = raw.decode()
-            if _PLAIN.fullmatch(word) and not ("<|" in word and any(a in word for a in self.added)):
-                parts[raw] = _PRE_TOKEN.findall(word.lower())
-            else:
-                odd.append(raw)
-        needed = set(chain.from_iterable(parts.values()))
-        unknown = needed.difference(self.pieces)
-        if len(self.pieces) + len(unknown) > PRE_TOKENS:
-            self.pieces.clear()
-            unknown = needed
-        unknown = list(unknown)
-        self.pieces.update(zip(unknown, self.encode_pieces(unknown), strict=True))
-        for raw, pieces in parts.items():
-            self.words[raw] = b"".join(map(self.pieces.__getitem__, pieces))
-        self.words.update(zip(odd, self.encode([raw.decode() for raw in odd]), strict=True))
+    def plain(self, text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None and not ("<|" in text and any(a in text for a in self.added))
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of a pre-token in lower case."""
+        written = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
+        ids = [token.id for token in self.model.tokenize(written)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def word(self, raw: bytes) -> bytes:
+        """The ids of what stands between two ASCII blanks."""
+        word = raw.decode()
+        if self.plain(word):
+            return self.plain_ids(word)
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def plain_ids(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _PRE_TOKEN.findall(text.lower())))
 
     def ids(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """The ids of each text, without end token."""
-        words = [(t or b"").split() for t in texts]
-        self.learn(set(chain.from_iterable(words)))
-        for w in words:
-            yield b"".join(map(self.words.__getitem__, w))
+        for raw in texts:
+            text = (raw or b"").decode()
+            yield self.plain_ids(text) if self.plain(text) else b"".join(map(self.words.__getitem__, raw.split()))
 
 
 @lru_cache(maxsize=1)

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from forecourt.llm.packing import END, TOKENIZER, grid_checksums, least_squares, make_plan, pack, part_checksum, sequences, word_ids
+from forecourt.llm.packing import END, TOKENIZER, WordIds, grid_checksums, least_squares, make_plan, pack, part_checksum, sequences, word_ids
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +115,24 @@ def test_awkward_rows(spark, awkward, nothing, worker):
 def test_any_text(worker):
     for text in ("İstanbul ſtraße Ⱥ", "<|endoftext|>x it's ''s 12½", "é é ﬁ  \x1c漢字 😀", ""):
         assert list(np.frombuffer(next(iter(worker.ids([text.encode()]))), "<u4")) == ids_of(worker, text)[:-1]
+
+
+def test_plain_texts_need_one_call_a_pre_token():
+    worker = WordIds(TOKENIZER)
+    calls = []
+    worker.pieces.find = lambda piece, find=worker.pieces.find: calls.append(piece) or find(piece)
+    text = "Vérité, VÉRITÉ!\tvérité... «vérité» it's\n12 12! " * 3
+    assert list(np.frombuffer(next(worker.ids([text.encode()])), "<u4")) == ids_of(worker, text)[:-1]
+    assert len(calls) == len(set(calls)) and "vérité" in calls and not worker.words
+    worker.pieces.clear()
+    worker.pieces.most = 2
+    assert list(np.frombuffer(next(worker.ids([text.encode()])), "<u4")) == ids_of(worker, text)[:-1]
+    assert len(worker.pieces) <= 2
+
+
+def test_every_plain_character(worker):
+    found = [c for c in map(chr, range(0x3000)) if worker.plain(c) and c not in " \t\n\x0b\x0c\r"]
+    for c in found:
+        for text in (c, f"a{c}b", f"{c}{c}1", f"'{c}"):
+            assert list(np.frombuffer(next(worker.ids([text.encode()])), "<u4")) == ids_of(worker, text)[:-1], text
+    assert len(found) > 300
