@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import bitmap_test, documents, drop_names, free_name, in_bitmap, text_key, text_or_empty, written
+from forecourt.llm.common import bitmap_test, documents, drop_names, free_name, hold, in_bitmap, text_key, text_or_empty, written
 from forecourt.llm.components import components
 
 WORDS = 5
@@ -42,6 +42,7 @@ TOKENS = 128  # minwise tokens per class
 TREES = 8
 LEAF = 2048  # classes that a node may have to be compared by one task
 LEAF_SHINGLES = 1 << 22  # and shingles of all of them
+ACROSS = 1024  # shingles that a node's sets are multiplied by at a time
 WIDE = 8  # times as large a node is compared in blocks; beyond, it is branched
 DEPTH = 8  # levels below the first
 ALL = -1  # side of members that are compared with every other one
@@ -65,7 +66,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Sorted shingle hashes of texts; remembers the hashes of words."""
 
-    def __init__(self, remembered: int = 1 << 19):
+    def __init__(self, remembered: int = 1 << 17):
         self.known: dict[bytes, int] = {}
         self.remembered = remembered
 
@@ -139,26 +140,29 @@ def _batch(rows: list[tuple], names: list[str], types: list) -> pa.RecordBatch:
 # --- 1. sets ----------------------------------------------------------------------------------------------------
 
 
+def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes, hashes and tokens of the sets of texts; what other stages remember in this worker goes."""
+    hold("near duplicates", lambda: None)
+    shingles = Shingles()
+    for batch in batches:
+        sizes, hashes, tokens = [], [], []
+        for text in batch.column("text").cast(pa.binary()).to_pylist():
+            own = shingles.of(text)
+            sizes.append(len(own))
+            hashes.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+            tokens.append(minwise(own).tobytes() if len(own) else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("ka"), batch.column("kb"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(tokens, pa.binary())],
+            ["id", "ka", "kb", "n", "c", "tokens"],
+        )
+
+
 def document_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: id, hash of the text (``key``), size of the set, ``c`` (the set's hash, null if empty), tokens."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles()
-        for batch in batches:
-            sizes, hashes, tokens = [], [], []
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                own = shingles.of(text)
-                sizes.append(len(own))
-                hashes.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                tokens.append(minwise(own).tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("ka"), batch.column("kb"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(tokens, pa.binary())],
-                ["id", "ka", "kb", "n", "c", "tokens"],
-            )
-
     key = text_key(text_col)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"), key["a"].alias("ka"), key["b"].alias("kb"))
-    return rows.mapInArrow(sets, "id long, ka long, kb long, n long, c binary, tokens binary")
+    return rows.mapInArrow(set_rows, "id long, ka long, kb long, n long, c binary, tokens binary")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame | None:
@@ -258,22 +262,31 @@ def node_links(node: int, columns: list[list]) -> list[tuple]:
     hashes, members = columns
     sets = [np.frombuffer(m, np.uint64) for m in members]
     sizes = np.asarray([len(s) for s in sets], np.int64)
-    shared, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    of = np.repeat(np.arange(len(sets)), sizes)
-    often = counts[inverse] > 1  # what only one set has adds nothing to an intersection
-    column = np.cumsum(counts > 1) - 1
-    rows, cols = of[often], column[inverse][often]
+    ends = np.cumsum(sizes)
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    first = np.flatnonzero(np.diff(values[order], prepend=~values[order[:1]]))  # of each distinct value in that order
+    counts = np.diff(first, append=len(order))
+    del values
+    often = counts > 1  # what only one set has adds nothing to an intersection
+    rows = (np.searchsorted(ends, order[np.repeat(often, counts)], "right")).astype(np.int32)
+    del order
+    stops = np.append(0, np.cumsum(counts[often]))
     common = np.zeros((len(sets), len(sets)), np.float32)
-    width = int(column[-1]) + 1 if len(column) else 0
-    for at in range(0, width, 4096):  # counts are whole numbers below 2 ** 24, exact as floats
-        inside = (cols >= at) & (cols < at + 4096)
-        table = np.zeros((len(sets), min(4096, width - at)), np.float32)
-        table[rows[inside], cols[inside] - at] = 1
+    for at in range(0, len(stops) - 1, ACROSS):  # counts are whole numbers below 2 ** 24, exact as floats
+        own = stops[at : at + ACROSS + 1]
+        table = np.zeros((len(sets), len(own) - 1), np.float32)
+        table[rows[own[0] : own[-1]], np.repeat(np.arange(len(own) - 1), np.diff(own))] = 1
         common += table @ table.T
-    both = np.rint(common).astype(np.int64)
-    linked = 100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both)
-    a, b = np.nonzero(np.triu(linked, 1))
-    return [(hashes[i], hashes[j]) for i, j in forest(len(sets), zip(a.tolist(), b.tolist(), strict=True))]
+
+    def links() -> Iterator[tuple[int, int]]:
+        for i in range(len(sets) - 1):  # a row at a time: a node of copies has as many links as pairs
+            both = np.rint(common[i, i + 1 :]).astype(np.int64)
+            linked = 100 * both >= PERCENT * (sizes[i] + sizes[i + 1 :] - both)
+            for j in np.flatnonzero(linked).tolist():
+                yield i, i + 1 + j
+
+    return [(hashes[i], hashes[j]) for i, j in forest(len(sets), links())]
 
 
 def _partners(rows: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.llm.common import broadcast_if_few, documents, drop_names, free_name, written
+from forecourt.llm.common import broadcast_if_few, documents, drop_names, free_name, hold, written
 
 BUCKETS = 1 << 16
 BLOCK = 64  # languages whose models are held at a time
@@ -138,6 +138,7 @@ def text_scores(
     schema = T.StructType([*(docs.schema.fields[i] for i in kept), T.StructField(out_col, T.ArrayType(T.DoubleType()))])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("language", lambda: None)  # what other stages remember in this worker goes
         for whole in batches:
             for batch in (whole.slice(i, ROWS) for i in range(0, len(whole), ROWS)):
                 grams = [trigrams(text) for text in batch.column(at).to_pylist()]

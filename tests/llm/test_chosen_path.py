@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from forecourt.llm import chosen_path
+from forecourt.llm import chosen_path, common
 from forecourt.llm.chosen_path import mark_duplicates, near_duplicates
 
 
@@ -110,3 +112,25 @@ def test_awkward_rows(awkward, nothing):
     assert [(r.component_id, r.kept) for r in rows if r.doc_id is None and r.text is None] == [(None, True)]
     assert mark_duplicates(nothing).count() == 0
     assert mark_duplicates(out).columns == out.columns
+
+
+def test_a_node_of_near_copies_is_compared_in_little_memory():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = []
+    for i in range(800):
+        own = base.copy()
+        own[i % 60] = i
+        sets.append(np.unique(own).tobytes())
+    tracemalloc.start()
+    links = chosen_path.node_links(1, [list(range(800)), sets])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(links) == 799 and peak < 12 << 20  # all 319,600 pairs are linked
+
+
+def test_workers_give_up_what_other_stages_remember():
+    gone = []
+    common.hold("another stage", lambda: gone.append(1))
+    list(chosen_path.set_rows(iter([])))
+    assert gone == [1]
