@@ -24,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 QUERY_BYTES = 32 << 20
 # Row and bucket cells counted at a time while embedding.
 _CELLS_AT_ONCE = 1 << 20
+# Corpus rows shown to a search at a time.
+_ROWS_AT_ONCE = 1024
 
 
 def topk_similar(
@@ -37,6 +39,7 @@ def topk_similar(
     skip_self: bool = False,
     query_bytes: int = QUERY_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    terms: TermWeights | None = None,
 ) -> DataFrame:
     """The ``k`` corpus vectors with the largest dot product for each query, exactly.
 
@@ -47,6 +50,9 @@ def topk_similar(
     Query vectors measured within ``query_bytes`` go to every task and the
     corpus is read once where it lies. For more queries the corpus is stored by
     cluster (``vector_table``), and a query visits only clusters that can hold one of its ``k``.
+
+    With ``terms``, the corpus column ``vector`` holds buckets of terms (``hashed_terms``); a searching task makes their
+    vectors a slice at a time, so they are neither handed from worker to worker nor held for a whole batch.
     """
     q = queries.select(
         F.col(query_key).alias("query_id"), F.col(query_vector or vector).alias("vector")
@@ -68,12 +74,15 @@ def topk_similar(
             def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 best = Best(shared.value["query_id"], shared.value["vector"], k, skip_self)
                 for batch in batches:
-                    if len(batch):
-                        best.show(batch["id"], batch["vector"])
+                    for start in range(0, len(batch), _ROWS_AT_ONCE):
+                        part = batch.iloc[start : start + _ROWS_AT_ONCE]
+                        best.show(part["id"], unit_vectors(part["vector"], terms) if terms else part["vector"])
                 yield best.frame()
 
             nearest = c.mapInPandas(search, schema)
     else:
+        if terms:
+            c = embed_terms(c, terms, "vector", "embedded").withColumnRenamed("embedded", "vector")
         table = VectorTable.build(c, "id", "vector", working_folder(q.sparkSession, "vectors"), block_bytes)
         nearest = table.search(q, k, skip_self).hits
 
@@ -130,25 +139,30 @@ def fit_embedding(df: DataFrame, text: str, dimensions: int = 256, bigrams: bool
     return fit_weights(hashed, "terms", dimensions, bigrams)
 
 
+def unit_vectors(buckets: pd.Series, model: TermWeights) -> pd.Series:
+    """Unit vectors of weighted bucket counts, for rows of one batch; null for null."""
+    weights = np.asarray(model.weights)
+    at_once = max(1, _CELLS_AT_ONCE // max(1, len(weights)))
+    own = [None if b is None else np.asarray(b, dtype=np.int64) for b in buckets]
+    out = []
+    for start in range(0, len(own), at_once):
+        part = [np.empty(0, np.int64) if b is None else b for b in own[start : start + at_once]]
+        row = np.repeat(np.arange(len(part)), [len(b) for b in part])
+        cells = np.bincount(row * len(weights) + np.concatenate(part), minlength=len(part) * len(weights))
+        values = cells.reshape(len(part), -1) * weights
+        length = np.sqrt((values * values).sum(axis=1, keepdims=True))
+        out += list(values / np.where(length > 0, length, 1))
+    return pd.Series([None if b is None else v for b, v in zip(own, out)], dtype=object)
+
+
 def embed_terms(
     hashed: DataFrame, model: TermWeights, terms: str = "terms", out: str = "embedding"
 ) -> DataFrame:
     """Unit vectors of weighted bucket counts, in place of the buckets."""
-    weights = np.asarray(model.weights)
-    at_once = max(1, _CELLS_AT_ONCE // max(1, len(weights)))
 
     @F.pandas_udf("array<double>")
     def unit(buckets: pd.Series) -> pd.Series:
-        own = [None if b is None else np.asarray(b, dtype=np.int64) for b in buckets]
-        out = []
-        for start in range(0, len(own), at_once):
-            part = [np.empty(0, np.int64) if b is None else b for b in own[start : start + at_once]]
-            row = np.repeat(np.arange(len(part)), [len(b) for b in part])
-            cells = np.bincount(row * len(weights) + np.concatenate(part), minlength=len(part) * len(weights))
-            values = cells.reshape(len(part), -1) * weights
-            length = np.sqrt((values * values).sum(axis=1, keepdims=True))
-            out += list(values / np.where(length > 0, length, 1))
-        return pd.Series([None if b is None else v for b, v in zip(own, out)], dtype=object)
+        return unit_vectors(buckets, model)
 
     return hashed.withColumn(out, unit(F.col(terms))).drop(terms)
 

@@ -348,11 +348,13 @@ def chunk_topk(spark, t):
     model = retrieval.fit_weights(hashed)
     return retrieval.topk_similar(
         retrieval.embed_hash(t["benchmark"], model, "text"),
-        retrieval.embed_terms(hashed, model),
+        hashed,
         k=3,
         query_key="item_id",
         key="chunk_id",
-        vector="embedding",
+        vector="terms",
+        query_vector="embedding",
+        terms=model,
     )
 
 

@@ -115,3 +115,20 @@ def test_hits_without_figures_stay(spark):
     hits = spark.createDataFrame([(1, 10), (1, 11)], "query_id long, id long")
     figures = spark.createDataFrame([(10, 3)], "item long, units int")
     assert rows(retrieval.join_hits_to_metrics(hits, figures, "item")) == [(10, 1, 3), (11, 1, None)]
+
+
+@pytest.mark.parametrize("query_bytes", [1 << 20, 0])
+def test_search_over_terms_makes_vectors_in_its_own_tasks(spark, tmp_path, monkeypatch, query_bytes):
+    monkeypatch.setattr(retrieval, "_ROWS_AT_ONCE", 3)
+    texts = spark.createDataFrame([(i, f"w{i % 7} w{i % 5} common {'x ' * (i % 3)}" if i % 11 else None) for i in range(60)], "id long, body string")
+    hashed = retrieval.hashed_terms(texts, "body").drop("body")
+    model = retrieval.fit_weights(hashed)
+    asked = retrieval.embed_terms(hashed.filter("id % 10 = 3"), model, out="asked").withColumnRenamed("id", "query")
+    vectors = retrieval.embed_terms(hashed, model)
+    with_vectors = retrieval.topk_similar(asked, vectors, 4, "query", "id", "embedding", query_vector="asked")
+    with_terms = retrieval.topk_similar(asked, hashed, 4, "query", "id", "terms", query_vector="asked", query_bytes=query_bytes, terms=model)
+    want = sorted(map(tuple, with_vectors.collect()))
+    assert sorted(map(tuple, with_terms.collect())) == want and len(want) == 20
+    if query_bytes:
+        plan = with_terms._jdf.queryExecution().executedPlan().toString()
+        assert "MapInPandas" in plan and "ArrowEvalPython" not in plan
