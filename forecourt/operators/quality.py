@@ -79,7 +79,8 @@ def typed(df: DataFrame, types: Mapping[str, str], errors: str = "invalid") -> D
         F.when(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(), F.lit(name))
         for name, kind in types.items()
     ]
-    marked = df.withColumn(errors, F.array_compact(F.array(*bad)))
+    # Without the NULLs; unlike array_compact, this leaves the casts in generated code.
+    marked = df.withColumn(errors, F.array_except(F.array(*bad), F.array(F.lit(None).cast("string"))))
     return marked.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items()})
 
 

@@ -211,8 +211,8 @@ def pipeline_gold(spark, t):
             F.sum("gross_profit").alias("gross_profit"),
         )
 
-    late, done = F.coalesce(F.expr(_LATE), F.lit(False)), -1
-    for delivery in (t["sl_contracts"].filter(~late), t["sl_contracts"].filter(late)):
+    done = -1
+    for delivery in _deliveries(spark, t, base):
         files.write_daily(delivery, "contract_date", landing)
         tables = run_medallion(spark, landing, base, CONTRACT_FEED, {})
         clean = spark.read.parquet(tables["silver"])

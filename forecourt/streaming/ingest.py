@@ -6,7 +6,8 @@ remembers which files were read, so repeating a run adds nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,22 @@ from pyspark.sql.types import StringType, StructField, StructType
 from forecourt.operators import quality
 
 
+# Tasks that list landed folders; Spark's own default is one for each folder.
+_LISTING_TASKS = 32
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """List many folders in a few tasks: with one folder each, starting the tasks takes longer than listing."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, min(int(before), _LISTING_TASKS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def audited(df: DataFrame) -> DataFrame:
     """Rows with the time they were read and the file they came from."""
     return df.withColumns(
@@ -37,21 +54,22 @@ def ingest_files(
     until all are taken. Bronze keeps the text as delivered: give a schema of
     strings and cast on the way to silver.
     """
-    stream = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("maxFilesPerTrigger", max_files)
-        .csv(source)
-    )
-    run = (
-        audited(stream)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
+    with few_listing_tasks(spark):
+        stream = (
+            spark.readStream.schema(schema)
+            .option("header", True)
+            .option("maxFilesPerTrigger", max_files)
+            .csv(source)
+        )
+        run = (
+            audited(stream)
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
 
 
 def ingest_checked(
@@ -70,14 +88,15 @@ def ingest_checked(
     again after a failure is written once. No column of ``schema`` may be called ``_line``.
     """
     parsed = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    stream = (
-        spark.readStream.schema(StructType([*parsed.fields, StructField("_line", StringType())]))
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_line")
-        .option("maxFilesPerTrigger", max_files)
-        .csv(source)
-    )
+    with few_listing_tasks(spark):
+        stream = (
+            spark.readStream.schema(StructType([*parsed.fields, StructField("_line", StringType())]))
+            .option("header", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_line")
+            .option("maxFilesPerTrigger", max_files)
+            .csv(source)
+        )
 
     def store(batch: DataFrame, batch_id: int) -> None:
         def put(rows: DataFrame, path: str) -> None:
@@ -86,8 +105,9 @@ def ingest_checked(
         put(batch.filter("_line IS NULL").drop("_line"), out)
         put(batch.filter("_line IS NOT NULL").select("_line", "_source_file", "_ingested_at"), quarantine)
 
-    writer = audited(stream).writeStream.foreachBatch(store).trigger(availableNow=True)
-    writer.option("checkpointLocation", checkpoint).start().awaitTermination()
+    with few_listing_tasks(spark):
+        writer = audited(stream).writeStream.foreachBatch(store).trigger(availableNow=True)
+        writer.option("checkpointLocation", checkpoint).start().awaitTermination()
 
 
 def refine(

@@ -10,6 +10,7 @@ from conftest import day, rows
 from forecourt.operators import refresh
 from forecourt.session import working_folder
 from forecourt.sources import files
+from forecourt.streaming import ingest
 from forecourt.streaming.ingest import ingest_files
 from forecourt.streaming.medallion import Feed, run_medallion
 
@@ -25,6 +26,15 @@ def notes(spark):
     )
 
 
+def test_many_folders_are_listed_in_few_tasks(spark):
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    with pytest.raises(ValueError), ingest.few_listing_tasks(spark):
+        assert int(spark.conf.get(setting)) <= 32 < int(before)
+        raise ValueError
+    assert spark.conf.get(setting) == before
+
+
 def test_each_file_is_read_once(spark, notes, tmp_path):
     landing, out, checkpoint = (str(tmp_path / n) for n in ("landing", "bronze", "checkpoint"))
     files.write_daily(notes.filter("id < 4"), "ts", landing)

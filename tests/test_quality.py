@@ -54,6 +54,13 @@ def test_typed_lists_what_did_not_fit(items):
     assert rows(out.select("text", "invalid")) == [(5, []), (7, []), (None, ["text"]), (None, [])]
 
 
+def test_typed_casts_in_generated_code(items):
+    out = quality.typed(items, {"text": "int", "year": "bigint"}).filter("size(invalid) = 0")
+    steps = [line for line in plan(out).splitlines() if line.lstrip("+- ").split(" ")[0] in ("*", "Project", "Filter")]
+    assert any("Project" in s for s in steps) and any("Filter" in s for s in steps)
+    assert all(s.lstrip("+- ").startswith("*") for s in steps if "Project" in s or "Filter" in s), steps
+
+
 def test_dedup_keeps_the_first(items):
     out = quality.dedup(items, ["id"], [F.desc("year")])
     assert rows(out) == [(1, "x", 2001), (2, None, 1980), (None, "7", None)]
