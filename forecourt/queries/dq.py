@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from forecourt.operators import quality
 from forecourt.queries import documents, marts
 from forecourt.queries.registry import ORACLES, query
+from forecourt.session import working_folder
 from forecourt.sources.bindings import with_tables
 
 _VEHICLES = with_tables("sl_vehicles")
@@ -229,6 +230,18 @@ DERIVED_REFERENCES = (
 )
 
 
+def _stored(spark, df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _store_contracts(spark, t) -> str:
+    """Work the contracts out once for all derived tables made of ``t``; returns the folder they lie in."""
+    base = working_folder(spark, "derived")
+    t["sl_contracts"] = _stored(spark, t["sl_contracts"], f"{base}/contracts")
+    return base
+
+
 def _derived_sql(*parents: str) -> str:
     made = ",\n".join(f"{name} AS ({ORACLES[source]})" for name, (source, _, _) in DERIVED.items())
     return f"{with_tables(*parents)},\n{made}\n" if parents else f"WITH {made}\n"
@@ -246,6 +259,7 @@ def _derived_sql(*parents: str) -> str:
 )
 def derived_primary_keys(spark, t):
     """Repeated or missing key values of the gold and the enriched tables."""
+    _store_contracts(spark, t)
     found = [
         quality.check_pk(make(spark, t), keys).agg(
             F.lit(f"{name} ({', '.join(keys)})").alias("primary_key"),
@@ -268,9 +282,18 @@ def derived_primary_keys(spark, t):
     ),
 )
 def derived_fk_orphans(spark, t):
-    """Values and rows without a parent, for each reference of the gold and the enriched tables."""
+    """Values and rows without a parent, for each reference of the gold and the enriched tables.
+
+    A table with several references is made once, and the columns that refer are stored.
+    """
+    base = _store_contracts(spark, t)
+    columns: dict[str, list[str]] = {}
+    for child, column, _, _ in DERIVED_REFERENCES:
+        columns.setdefault(child, []).append(column)
+    made = {child: DERIVED[child][1](spark, t).select(*names) for child, names in columns.items()}
+    made |= {c: _stored(spark, df, f"{base}/{c}") for c, df in made.items() if len(columns[c]) > 1}
     found = [
-        quality.check_fk(DERIVED[child][1](spark, t), column, t[parent], key).agg(
+        quality.check_fk(made[child], column, t[parent], key).agg(
             F.lit(f"{child}.{column} > {parent}.{key}").alias("foreign_key"),
             F.count(F.lit(1)).alias("orphan_values"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),

@@ -160,3 +160,14 @@ def test_no_pairing_joins_and_no_row_at_a_time_python(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert node not in text
+
+
+@pytest.mark.parametrize("name", ["dq_derived_primary_keys", "dq_derived_fk_orphans"])
+def test_derived_tables_add_contracts_up_once(spark, small, name):
+    text = plan(QUERIES[name](spark, small))
+    assert "l_extendedprice" not in text and "/contracts" in text
+
+
+def test_a_derived_table_is_made_once_for_all_its_references(spark, small):
+    text = plan(QUERIES["dq_derived_fk_orphans"](spark, small))
+    assert "/gd_contract_margin_score" in text and "/sl_inquiries_enriched" in text
