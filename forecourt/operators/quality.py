@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from forecourt.operators.joins import fits_broadcast
+
 # A rule set maps a rule name to the SQL condition every good row meets.
 Rules = Mapping[str, str]
 
@@ -105,6 +107,33 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = No
     return df.withWatermark(event_time, late).dropDuplicatesWithinWatermark(list(keys))
 
 
+def repeated_keys(batch: DataFrame, keys: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
+    """Keys that ``batch`` has more than once or that ``stored`` has as well; ``_known`` tells the latter.
+
+    Of a batch that repeats little this is little, and only keys are shuffled for it.
+    """
+    found = batch.select(*keys, F.lit(1).alias("_n"), F.lit(False).alias("_known"))
+    if stored is not None:
+        found = found.unionAll(stored.select(*keys, F.lit(0).alias("_n"), F.lit(True).alias("_known")))
+    counted = found.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.bool_or("_known").alias("_known"))
+    return counted.filter("_n > 1 OR (_n = 1 AND _known)").drop("_n")
+
+
+def without_repeats(batch: DataFrame, keys: Sequence[str], repeats: DataFrame) -> DataFrame:
+    """One row of each key of ``batch`` that is not known, given its ``repeated_keys``.
+
+    Rows whose key does not repeat stay where they lie, as long as the repeated keys fit a broadcast. No key is NULL.
+    """
+    if repeats.isEmpty():
+        return batch
+    if fits_broadcast(repeats):
+        rest = batch.join(F.broadcast(repeats.filter("NOT _known")), list(keys), "left_semi")
+        rows = batch.join(F.broadcast(repeats), list(keys), "left_anti").unionAll(rest.dropDuplicates(list(keys)))
+    else:
+        rows = batch.join(repeats.filter("_known"), list(keys), "left_anti").dropDuplicates(list(keys))
+    return rows.select(*(F.col(f"`{c}`") for c in batch.columns))
+
+
 def check_pk(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that are NULL in some part or occur more than once, with their row count ``n``."""
     any_null = F.lit(False)

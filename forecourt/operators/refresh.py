@@ -46,21 +46,29 @@ def stored_months(
 
 
 def add_batch(
-    rows: DataFrame, base: str, batch: str, date: str = "contract_date", name: str = "contracts"
+    rows: DataFrame,
+    base: str,
+    batch: str,
+    date: str = "contract_date",
+    name: str = "contracts",
+    dealt: bool = False,
 ) -> tuple[str, set, set]:
     """Store one load by month; returns the load's mark, the months it has and the batch's other months.
 
     The months that an earlier load of the batch had and this one lacks are left for the caller to
     remove, after it has dealt with them: until then a repeated run finds them again.
     Months come first in the layout, so a refresh reads its months' folders only; ``batch`` must be plain in a
-    folder name (letters, digits, ``_``, ``-``, ``.``), as it is part of the path.
+    folder name (letters, digits, ``_``, ``-``, ``.``), as it is part of the path. Rows that are ``dealt`` are already
+    gathered by month.
     """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"not a plain batch name: {batch!r}")
     spark, load = rows.sparkSession, uuid.uuid4().hex
     before = stored_months(spark, base, batch, name)
     # The marks are the same in all rows, so they are put on after the shuffle by month.
-    dated = rows.withColumn("sales_month", month_of(date)).hint("rebalance", "sales_month")
+    dated = rows.withColumn("sales_month", month_of(date))
+    if not dealt:
+        dated = dated.hint("rebalance", "sales_month")
     stamped = dated.withColumns({"load": F.lit(load), "batch": F.lit(batch)})
     write_layer(stamped, base, "silver", name, ("sales_month", "batch"), dealt=True)
     now = stored_months(spark, base, batch, name, load)
@@ -111,13 +119,15 @@ def refresh_incremental(
     mart: Mart = monthly_summary,
     name: str = "monthly_sales",
     date: str = "contract_date",
+    dealt: bool = False,
 ) -> str:
     """Store ``delta`` as ``batch`` and recompute only the months of ``mart`` that it touches.
 
     ``mart`` gets rows with their ``sales_month`` and must keep that column. A
-    month that no row is left in disappears from the mart.
+    month that no row is left in disappears from the mart. A delta that is
+    ``dealt`` is already gathered by month.
     """
-    load, months, gone = add_batch(delta, base, batch, date)
+    load, months, gone = add_batch(delta, base, batch, date, dealt=dealt)
     path = layer_path(base, "silver", "contracts")
     stale = (F.col("batch") == batch) & (F.col("load") != load)
     touched = months | gone

@@ -29,9 +29,17 @@ def map_category(column: str | Column, spellings: Mapping[str, str]) -> Column:
 
 
 def to_silver(
-    contracts: DataFrame, stores: DataFrame, vehicles: DataFrame, spellings: Mapping[str, str]
+    contracts: DataFrame,
+    stores: DataFrame,
+    vehicles: DataFrame,
+    spellings: Mapping[str, str],
+    by_month: bool = False,
 ) -> DataFrame:
-    """Contracts with trimmed names, aligned category, month and margin rate."""
+    """Contracts with trimmed names, aligned category, month and margin rate.
+
+    Small sides are joined last, where the rows lie. ``by_month`` gathers the rows by month before that, so
+    that what small sides add is not shuffled.
+    """
     store = stores.select(
         "store_id",
         F.trim("store_name").alias("store_name"),
@@ -42,25 +50,39 @@ def to_silver(
         F.trim("maker").alias("maker"),
         map_category("body_type", spellings).alias("category"),
     )
-    sides = broadcast_if_small({"store": store, "vehicle": vehicle})
-    return (
-        contracts.join(sides["store"], "store_id", "left")
-        .join(sides["vehicle"], "vehicle_id", "left")
-        .select(
-            "contract_id",
-            "contract_date",
-            month_of("contract_date").alias("sales_month"),
-            "store_id",
-            "store_name",
-            "prefecture",
-            "vehicle_id",
-            "maker",
-            "category",
-            "customer_id",
-            "actual_price",
-            "gross_profit",
-            ratio("gross_profit", "actual_price").alias("margin_rate"),
-        )
+    frames = {"store_id": store, "vehicle_id": vehicle}
+    sides = broadcast_if_small(frames)
+    small = [key for key in frames if sides[key] is not frames[key]]
+    joined = contracts.select(
+        "contract_id",
+        "contract_date",
+        month_of("contract_date").alias("sales_month"),
+        "store_id",
+        "vehicle_id",
+        "customer_id",
+        "actual_price",
+        "gross_profit",
+    )
+    for key in (key for key in frames if key not in small):
+        joined = joined.join(sides[key], key, "left")
+    if by_month:
+        joined = joined.hint("rebalance", "sales_month")
+    for key in small:
+        joined = joined.join(sides[key], key, "left")
+    return joined.select(
+        "contract_id",
+        "contract_date",
+        "sales_month",
+        "store_id",
+        "store_name",
+        "prefecture",
+        "vehicle_id",
+        "maker",
+        "category",
+        "customer_id",
+        "actual_price",
+        "gross_profit",
+        ratio("gross_profit", "actual_price").alias("margin_rate"),
     )
 
 

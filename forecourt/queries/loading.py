@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from forecourt.operators import deltas, refresh, silver
 from forecourt.operators.gold import ratio
 from forecourt.queries.registry import query, rounded
-from forecourt.session import working_folder
+from forecourt.session import shuffles_released, working_folder
 from forecourt.sources import files
 from forecourt.sources.bindings import with_tables
 from forecourt.streaming.ingest import ingest_checked, ingest_files
@@ -178,11 +178,15 @@ CONTRACT_FEED = Feed(
 _LATE = "contract_date >= DATE'2001-06-01' OR (store_id = 7 AND trunc(contract_date, 'MM') = DATE'2000-03-01')"
 
 
+# The folders of the earlier and the late contracts.
+_DELIVERED = ({"late": "false"}, {"late": "true"})
+
+
 def _deliveries(spark, t, base):
     """The earlier and the late contracts, worked out once and stored apart, so that a delivery reads its own rows only."""
     path = f"{base}/delivered"
     marked = t["sl_contracts"].withColumn("late", F.coalesce(F.expr(_LATE), F.lit(False)))
-    marked.write.partitionBy("late").parquet(path)
+    marked.write.partitionBy("late").option("compression", files.COMPRESSION).parquet(path)
     stored = spark.read.schema(marked.schema).parquet(path)
     return stored.filter("NOT late").drop("late"), stored.filter("late").drop("late")
 
@@ -212,16 +216,20 @@ def pipeline_gold(spark, t):
         )
 
     done = -1
-    for delivery in _deliveries(spark, t, base):
-        files.write_daily(delivery, "contract_date", landing)
-        tables = run_medallion(spark, landing, base, CONTRACT_FEED, {})
-        clean = spark.read.parquet(tables["silver"])
-        newest = clean.filter(F.col("batch_id") > done)
-        joined = silver.to_silver(newest, t["sl_stores"], t["sl_vehicles"], silver.BODY_TYPE_SPELLINGS)
-        path = refresh.refresh_incremental(
-            spark, joined.drop("sales_month"), base, f"after-{done}", mart=mart, name="contracts_by_maker"
-        )
-        done = clean.agg(F.max("batch_id")).first()[0]
+    with shuffles_released(spark):
+        for delivery, folder in zip(_deliveries(spark, t, base), _DELIVERED):
+            files.write_daily(delivery, "contract_date", landing)
+            files.drop_partitions(spark, f"{base}/delivered", [folder])  # it lies in the landing folder now
+            tables = run_medallion(spark, landing, base, CONTRACT_FEED, {})
+            clean = spark.read.parquet(tables["silver"])
+            newest = clean.filter(F.col("batch_id") > done)
+            joined = silver.to_silver(
+                newest, t["sl_stores"], t["sl_vehicles"], silver.BODY_TYPE_SPELLINGS, by_month=True
+            )
+            path = refresh.refresh_incremental(
+                spark, joined.drop("sales_month"), base, f"after-{done}", mart=mart, name="contracts_by_maker", dealt=True
+            )
+            done = clean.agg(F.max("batch_id")).first()[0]
     return rounded(spark.read.parquet(path), {"sales": 4, "gross_profit": 4})
 
 

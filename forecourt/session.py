@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +49,24 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
     return spark
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Remove a query's shuffle files as soon as it has ended, not when the driver collects garbage.
+
+    For jobs of several writes: what one has shuffled does not lie beside what the next one shuffles. A DataFrame that is
+    run twice within shuffles twice.
+    """
+    before = spark.conf.get(_RELEASE)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RELEASE, before)
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared location the cluster names.
 

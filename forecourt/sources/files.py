@@ -11,6 +11,9 @@ from pyspark.sql.types import StructType
 # The name prefix of each layer.
 LAYERS = {"bronze": "bz", "silver": "sl", "gold": "gd", "view": "mv"}
 
+# How layer tables are compressed: numbers and numbers as text take a quarter less than with Spark's default.
+COMPRESSION = "zstd"
+
 
 def layer_path(base: str, layer: str, name: str) -> str:
     return f"{base.rstrip('/')}/{LAYERS[layer]}_{name}"
@@ -26,13 +29,14 @@ def with_day(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def write_daily(df: DataFrame, date_col: str, path: str) -> None:
-    """Append rows as CSV files below one ``day=`` folder per day.
+    """Append rows as gzipped CSV files below one ``day=`` folder per day.
 
     The rebalance hint gathers small days into few files and lets adaptive
     execution split a day that holds much of the data.
     """
     landed = with_day(df, date_col).hint("rebalance", F.col("day"))
-    landed.write.mode("append").partitionBy("day").option("header", True).csv(path)
+    writer = landed.write.mode("append").partitionBy("day").option("header", True)
+    writer.option("compression", "gzip").csv(path)
 
 
 def write_layer(
@@ -52,7 +56,7 @@ def write_layer(
     path = layer_path(base, layer, name)
     if partition_by and not dealt:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
-    writer = df.write.mode(mode).partitionBy(*partition_by)
+    writer = df.write.mode(mode).partitionBy(*partition_by).option("compression", COMPRESSION)
     writer.option("partitionOverwriteMode", "dynamic" if partition_by else "static").parquet(path)
     return path
 

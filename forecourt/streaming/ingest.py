@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from forecourt.operators import quality
-
+from forecourt.sources.files import COMPRESSION
 
 # Tasks that list landed folders; Spark's own default is one for each folder.
 _LISTING_TASKS = 32
@@ -65,6 +66,7 @@ def ingest_files(
             audited(stream)
             .writeStream.format("parquet")
             .option("path", out)
+            .option("compression", COMPRESSION)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
@@ -134,8 +136,9 @@ def refine(
 
     Every micro-batch, of at most ``max_files`` files, replaces its own
     ``batch_id=`` folder of ``out`` and of ``metrics_out``, so a batch that is
-    run again after a failure is not written twice. Without ``event_time`` the
-    state keeps every accepted key.
+    run again after a failure is not written twice. Without ``event_time`` a
+    batch is compared with the keys of all earlier ones as they lie in ``out``;
+    no key is held in memory from batch to batch.
     """
 
     def delivered() -> DataFrame:
@@ -147,8 +150,20 @@ def refine(
         writer = stream.writeStream.foreachBatch(store).trigger(availableNow=True)
         writer.option("checkpointLocation", f"{checkpoint}/{name}").start().awaitTermination()
 
+    def earlier(batch: DataFrame, batch_id: int) -> DataFrame | None:
+        schema = StructType([*batch.schema.fields, StructField("batch_id", LongType())])
+        try:
+            return batch.sparkSession.read.schema(schema).parquet(out).filter(F.col("batch_id") < batch_id)
+        except AnalysisException:  # nothing has been stored yet
+            return None
+
     def keep(batch: DataFrame, batch_id: int) -> None:
-        writer = batch.write.mode("overwrite").partitionBy(*partition_by)
+        if event_time is None:
+            repeats = quality.repeated_keys(batch, keys, earlier(batch, batch_id))
+            repeats.write.mode("overwrite").parquet(f"{checkpoint}/repeats")
+            repeats = batch.sparkSession.read.schema(repeats.schema).parquet(f"{checkpoint}/repeats")
+            batch = quality.without_repeats(batch, keys, repeats)
+        writer = batch.write.mode("overwrite").partitionBy(*partition_by).option("compression", COMPRESSION)
         writer.parquet(f"{out}/batch_id={batch_id}")
 
     def count(batch: DataFrame, batch_id: int) -> None:
@@ -157,5 +172,5 @@ def refine(
 
     checked = quality.expect_or_fail(delivered(), fail) if fail else delivered()
     accepted = quality.expect_or_drop(checked, rules).dropna(subset=list(keys))
-    run(quality.dedup_stream(accepted, keys, event_time), keep, "rows")
+    run(accepted if event_time is None else quality.dedup_stream(accepted, keys, event_time), keep, "rows")
     run(delivered(), count, "metrics")

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, rows
-from forecourt.operators import refresh
-from forecourt.session import working_folder
+from conftest import day, plan, rows
+from forecourt.operators import quality, refresh
+from forecourt.session import shuffles_released, working_folder
 from forecourt.sources import files
 from forecourt.streaming import ingest
 from forecourt.streaming.ingest import ingest_files
@@ -207,6 +208,77 @@ def test_a_refresh_reads_the_touched_months_only(spark, tmp_path):
         refresh.refresh_incremental(spark, delta, base, "a/b")
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_repeats_are_found_among_stored_rows(spark, tmp_path, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(quality, "fits_broadcast", lambda frame: False)
+    bronze, out, mark = (str(tmp_path / n) for n in ("bronze", "silver", "mark"))
+    types = {"id": "int", "part": "int"}
+    for delivery in ([("1", "1"), ("1", "1"), ("1", "2"), (None, "1")], [("1", "2"), ("2", "1")], [("1", "1"), ("3", "1"), ("3", "1")]):
+        landed = spark.createDataFrame(delivery, "id string, part string").withColumn("value", F.lit("v")).coalesce(1)
+        landed.write.mode("append").parquet(bronze)
+        ingest.refine(spark, bronze, out, str(tmp_path / "metrics"), mark, types, {}, ("id", "part"), max_files=1)
+    silver = spark.read.parquet(out)
+    assert rows(silver.select("id", "part", "value", "batch_id")) == [(1, 1, "v", 0), (1, 2, "v", 0), (2, 1, "v", 1), (3, 1, "v", 2)]
+    assert silver.columns == ["id", "part", "value", "invalid", "batch_id"]
+    assert not (tmp_path / "mark/rows/state").exists()  # no key is held from batch to batch
+
+
+def test_a_batch_run_again_takes_its_rows_again(spark, tmp_path):
+    bronze, out, mark = (str(tmp_path / n) for n in ("bronze", "silver", "mark"))
+    args = (spark, bronze, out, str(tmp_path / "metrics"), mark, {"id": "int"}, {}, ("id",))
+    for ids in (["1", "2"], ["2", "3"]):
+        spark.createDataFrame([(i,) for i in ids], "id string").coalesce(1).write.mode("append").parquet(bronze)
+        ingest.refine(*args)
+    for commit in (tmp_path / "mark/rows/commits").glob("*1*"):  # the second batch was written but not marked as done
+        commit.unlink()
+    ingest.refine(*args)
+    assert rows(spark.read.parquet(out).select("id", "batch_id")) == [(1, 0), (2, 0), (3, 1)]
+
+
+def test_only_keys_are_shuffled_to_find_repeats(spark):
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 100).alias("text"))
+    text = plan(quality.repeated_keys(wide, ["id"], wide))
+    assert "text" not in text and "Exchange" in text
+    none = quality.repeated_keys(wide, ["id"])
+    assert none.isEmpty() and "Exchange" not in plan(quality.without_repeats(wide, ["id"], none))
+
+
+def test_shuffle_files_go_when_a_query_has_ended(spark, tmp_path):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f and f.endswith(".data")}
+
+    with pytest.raises(ValueError), shuffles_released(spark):
+        before = shuffled()
+        spark.range(1000).repartition(4, "id").write.parquet(str(tmp_path / "t"))
+        until = time.time() + 20
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffled() - before
+        raise ValueError
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_what_a_delivery_leaves_on_disk(spark, business, tmp_path, monkeypatch):
+    from forecourt.queries import loading
+
+    monkeypatch.setattr(loading, "working_folder", lambda spark, purpose: str(tmp_path))
+    late = business["sl_contracts"]
+    early = late.withColumns({"contract_id": F.col("contract_id") + 100, "contract_date": F.add_months("contract_date", -24)})
+    out = loading.pipeline_gold(spark, {**business, "sl_contracts": early.unionByName(late)})
+    sold = {(r.prefecture, str(r.sales_month), r.maker, r.units, r.sales) for r in out.collect()}
+    assert {m for _, m, *_ in sold} == {"1999-06-01", "1999-07-01", "2001-06-01", "2001-07-01"}
+    assert ("Tokyo", "2001-07-01", "M2", 1, 300.0) in sold and (None, "1999-06-01", None, 1, 50.0) in sold and len(sold) == 8
+    assert not list(tmp_path.glob("delivered/**/*.parquet"))  # the landing folder has these rows
+    landed = list(tmp_path.glob("landing/day=*/part-*"))
+    assert landed and all(p.name.endswith(".csv.gz") for p in landed)
+    for table in ("bz_contract_feed", "sl_contract_feed", "sl_contracts"):
+        stored = list(tmp_path.glob(f"{table}/**/part-*.parquet"))
+        assert stored and all(".zstd." in p.name for p in stored), table
+
+
 def test_deliveries_are_worked_out_once(spark, small, tmp_path):
     from conftest import plan
     from forecourt.queries.loading import _deliveries

@@ -55,6 +55,31 @@ def test_margin_score(spark, business):
     assert "Window" not in plan(out)
 
 
+def test_small_sides_are_joined_after_gathering_by_month(business, monkeypatch):
+    monkeypatch.setattr(silver, "broadcast_if_small", lambda frames: {k: F.broadcast(f) for k, f in frames.items()})
+    sides = business["sl_stores"], business["sl_vehicles"], silver.BODY_TYPE_SPELLINGS
+    text = plan(silver.to_silver(business["sl_contracts"], *sides, by_month=True))
+    arguments = [line for line in text.splitlines() if "REBALANCE_PARTITIONS_BY_COL" in line]
+    assert len(arguments) == 1 and text.count("BroadcastHashJoin") >= 2
+    shuffled = text[: text.index(arguments[0])].rsplit("Input [", 1)[1].splitlines()[0]
+    assert "sales_month" in shuffled and not any(c in shuffled for c in ("store_name", "maker", "margin_rate"))
+    assert rows(silver.to_silver(business["sl_contracts"], *sides, by_month=True)) == rows(
+        silver.to_silver(business["sl_contracts"], *sides)
+    )
+
+
+@pytest.mark.parametrize("large", ["sl_stores", "sl_vehicles"])
+def test_large_sides_are_joined_first(business, monkeypatch, large):
+    sides = business["sl_stores"], business["sl_vehicles"], silver.BODY_TYPE_SPELLINGS
+    want = rows(silver.to_silver(business["sl_contracts"], *sides))
+    key = "store_id" if large == "sl_stores" else "vehicle_id"
+    monkeypatch.setattr(
+        silver, "broadcast_if_small", lambda frames: {k: f if k == key else F.broadcast(f) for k, f in frames.items()}
+    )
+    for by_month in (False, True):
+        assert rows(silver.to_silver(business["sl_contracts"], *sides, by_month=by_month)) == want
+
+
 def test_rm_segment(business):
     out = gold.rm_segment(
         business["sl_customers"], business["sl_inquiries"], business["sl_contracts"], day("2001-08-01")
